@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import chat, decontam, licenses, sstable
+from quire.llm import chat, decontam, licenses, sstable, toxicity
 from quire.llm.common import materialize, table
 from quire.llm.oracles import oracle_sql  # noqa: F401
 
@@ -22,6 +22,11 @@ def op6_sst_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.read_shards(sstable.write_shards(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(toxicity.sample(docs, table(spark, sf_dir, "labels"))))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -40,4 +45,4 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op6_sst_shards, op8_decontamination, op9_chat_format, op10_license_scan)}
+    return {f.__name__: f for f in (op6_sst_shards, op7_toxicity, op8_decontamination, op9_chat_format, op10_license_scan)}

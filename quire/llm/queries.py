@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import chat, decontam, licenses, mixing, simhash, sstable, toxicity
+from quire.llm import chat, decontam, licenses, mixing, simhash, sstable, suffix_dedup, toxicity
 from quire.llm.common import materialize, table
 from quire.llm.oracles import oracle_sql  # noqa: F401
 
@@ -26,6 +26,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_sst_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.read_shards(sstable.write_shards(table(spark, sf_dir, "documents"), tokenizer_path()))
 
@@ -53,4 +57,4 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_cube_mixing, op3_simhash, op6_sst_shards, op7_toxicity, op8_decontamination, op9_chat_format, op10_license_scan)}
+    return {f.__name__: f for f in (op2_cube_mixing, op3_simhash, op5_suffix_dedup, op6_sst_shards, op7_toxicity, op8_decontamination, op9_chat_format, op10_license_scan)}

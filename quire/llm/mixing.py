@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import SPACE_WORD, materialize
 
-BLOCK = 20_000
+BLOCK = 2_000
 MOST_COPIES = 3
 WEIGHTS = (1, 2, 3)
 SEED = 20_240_229

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import chat, decontam, licenses, mixing, simhash, sstable, suffix_dedup, toxicity
+from quire.llm import ann, chat, decontam, licenses, mixing, simhash, sstable, suffix_dedup, token_rollup, toxicity
 from quire.llm.common import materialize, table
 from quire.llm.oracles import oracle_sql  # noqa: F401
 
@@ -18,6 +18,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_rollup.maintain(table(spark, sf_dir, "documents"), tokenizer_path(), "byte_bpe_50k")
+
+
 def op2_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -26,6 +30,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
 
@@ -57,4 +65,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_cube_mixing, op3_simhash, op5_suffix_dedup, op6_sst_shards, op7_toxicity, op8_decontamination, op9_chat_format, op10_license_scan)}
+    found = (
+        op1_token_rollup, op2_cube_mixing, op3_simhash, op4_ann, op5_suffix_dedup,
+        op6_sst_shards, op7_toxicity, op8_decontamination, op9_chat_format, op10_license_scan,
+    )
+    return {f.__name__: f for f in found}

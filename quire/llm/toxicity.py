@@ -2,7 +2,7 @@
 
 A document is a bag of sentences. A sentence s has the score p(s) = sigmoid(bias + sum of the
 weights of its words), a document the noisy-or 1 - prod(1 - p(s)): it is toxic if any of its
-sentences is. A word's weight is the sum of those of its features: the word itself and its first four to
+sentences is. A word's weight is the sum of those of its features: the word itself and its first three to
 six letters, as many as it has (inflected forms share them). Weights are learned from document labels alone, through the noisy-or, by gradient
 steps with an L1 penalty; the sentence scores then tell which sentences offend.
 
@@ -19,6 +19,7 @@ label every score is 0. Repeated rows each get their row; other columns are igno
 from __future__ import annotations
 
 import re
+from array import array
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import ALNUM_TABLE
 
-SAMPLE_DOCS = 5_000
+SAMPLE_DOCS = 8_000
 SAMPLE_BYTES = 1 << 18
 MAX_FEATURES = 100_000
 MIN_DOCS = 4
@@ -38,9 +39,9 @@ ENDS = re.compile(rb"[.!?\n]+")
 
 
 def features(word: bytes) -> list[bytes]:
-    """The word, and marked prefixes of 4 to 6 code points that are shorter than it."""
+    """The word, and marked prefixes of 3 to 6 code points that are shorter than it."""
     letters = word.decode(errors="replace")
-    return [word, *(b"^" + letters[:n].encode() for n in range(4, 7) if n < len(letters))]
+    return [word, *(b"^" + letters[:n].encode() for n in range(3, 7) if n < len(letters))]
 
 
 class WordWeights(dict):
@@ -116,32 +117,37 @@ def train(rows: list[tuple[str, int]], max_features: int = MAX_FEATURES, min_doc
     bags = [(b, y) for b, y in bags if b]
     if not bags:
         return Model(-50.0, {}, empty)
+    # Words by number, their sentences and documents; then the features of each word.
+    words: dict[bytes, int] = {}
+    word, sentence, of_bag, n = array("i"), array("i"), array("i"), 0
     df: dict[bytes, int] = {}
     of = lru_cache(None)(features)
-    for b, _ in bags:
-        for f in {f for w in {w for s in b for w in s} for f in of(w)}:
-            df[f] = df.get(f, 0) + 1
-    words = sorted((w for w, n in df.items() if n >= min_docs), key=lambda w: (-df[w], w))[:max_features]
-    number = {w: i for i, w in enumerate(words)}
-    feature, sentence, of_bag, n = [], [], [], 0
-    for k, (b, _) in enumerate(bags):
-        for s in b:
-            own = [number[f] for w in s for f in of(w) if f in number]
-            feature += own
-            sentence += [n] * len(own)
+    for k, (bag, _) in enumerate(bags):
+        for s in bag:
+            word.extend([words.setdefault(w, len(words)) for w in s])
+            sentence.extend([n] * len(s))
             of_bag.append(k)
             n += 1
-    feature, sentence, of_bag = (np.array(x, dtype=np.int64) for x in (feature, sentence, of_bag))
+        for f in {f for w in {w for s in bag for w in s} for f in of(w)}:
+            df[f] = df.get(f, 0) + 1
+    kept = sorted((f for f, c in df.items() if c >= min_docs), key=lambda f: (-df[f], f))[:max_features]
+    number = {f: i for i, f in enumerate(kept)}
+    pairs = np.array([(i, number[f]) for w, i in words.items() for f in of(w) if f in number], dtype=np.int32).reshape(-1, 2)
+    of_word, feature = np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])
+    word, sentence, of_bag = (np.frombuffer(x, dtype=np.int32) for x in (word, sentence, of_bag))
+    of.cache_clear()
     y = np.array([y for _, y in bags], dtype=np.float64)
-    weights, bias = np.zeros(len(words)), BIAS
-    squares, bias_squares = np.full(len(words), 1e-6), 1e-6
+    weights, bias = np.zeros(len(kept)), BIAS
+    squares, bias_squares = np.full(len(kept), 1e-6), 1e-6
     for _ in range(steps):
-        z = np.clip(bias + np.bincount(sentence, weights=weights[feature], minlength=n), -40, 40)
+        by_word = np.bincount(of_word, weights=weights[feature], minlength=len(words))
+        z = np.clip(bias + np.bincount(sentence, weights=by_word[word], minlength=n), -40, 40)
         p = 1 / (1 + np.exp(-z))
         total = np.bincount(of_bag, weights=np.logaddexp(0, z), minlength=len(bags))
         ratio = np.where(y > 0, np.exp(-total) / np.maximum(-np.expm1(-total), 1e-12), -1.0)
         pull = p * ratio[of_bag]
-        gradient = np.bincount(feature, weights=pull[sentence], minlength=len(words))
+        by_word = np.bincount(word, weights=pull[sentence], minlength=len(words))
+        gradient = np.bincount(feature, weights=by_word[of_word], minlength=len(kept))
         squares += gradient**2
         step = rate / np.sqrt(squares)
         weights += step * gradient
@@ -149,7 +155,7 @@ def train(rows: list[tuple[str, int]], max_features: int = MAX_FEATURES, min_doc
         g = pull.sum()
         bias_squares += g * g
         bias += rate * g / np.sqrt(bias_squares)
-    return Model(float(bias), {w: float(v) for w, v in zip(words, weights) if v}, empty)
+    return Model(float(bias), {w: float(v) for w, v in zip(kept, weights) if v}, empty)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

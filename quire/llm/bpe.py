@@ -16,7 +16,10 @@ from functools import lru_cache
 PIECE = re.compile(r"\n(?=[^ \n])|[ \n]*[^\W_]+(?=[,.])|[ \n]*[^ \n]+|[ \n]+")
 #: Other white space, or what one library counts as such and another doesn't.
 OTHER_SPACE = re.compile(r"[^\S \n]")
-CACHE_ENTRIES = 800_000
+#: A full cache keeps what it has, which are the frequent pieces, until it has missed this many
+#: times its size: then the texts have changed, and it starts anew.
+CACHE_ENTRIES = 1_000_000
+STALE = 4
 LONGEST_CACHED = 48
 
 
@@ -25,6 +28,7 @@ class Encoder(dict):
 
     def __init__(self, path: str):
         super().__init__()
+        self.missed = 0
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -43,9 +47,13 @@ class Encoder(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self._ids(piece)
         if len(piece) <= LONGEST_CACHED:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[piece] = ids
+            if len(self) < CACHE_ENTRIES:
+                self[piece] = ids
+            else:
+                self.missed += 1
+                if self.missed > STALE * CACHE_ENTRIES:
+                    self.missed = 0
+                    self.clear()
         return ids
 
 

@@ -21,7 +21,6 @@ from __future__ import annotations
 import re
 from array import array
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -106,44 +105,56 @@ def sample(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, s
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.octet_length("text") <= sample_bytes)
     rows = texts.join(F.broadcast(known), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample_docs)  # at most sample_docs rows are broadcast
-    return [(r.text, int(r.toxic)) for r in rows.select("text", "toxic").collect()]
+    found = rows.select("text", "toxic").toArrow()
+    return list(zip(found.column(0).to_pylist(), found.column(1).to_pylist()))
 
 
 def train(rows: list[tuple[str, int]], max_features: int = MAX_FEATURES, min_docs: int = MIN_DOCS, steps: int = 120, rate: float = 0.5, penalty: float = 1.0) -> Model:
     """Fit on (text, label) rows; the order of rows doesn't matter but for rounding."""
-    blank = [y for t, y in rows if not any(s.split() for s in sentences(t))]
-    empty = float(np.mean(blank)) if blank else 0.0
-    bags = [([w for s in sentences(t) if (w := s.split())], y) for t, y in rows]
-    bags = [(b, y) for b, y in bags if b]
-    if not bags:
-        return Model(-50.0, {}, empty)
-    # Words by number, their sentences and documents; then the features of each word.
+    # One text at a time becomes numbers: of each word its number and sentence, of each sentence its bag.
     words: dict[bytes, int] = {}
     word, sentence, of_bag, n = array("i"), array("i"), array("i"), 0
-    df: dict[bytes, int] = {}
-    of = lru_cache(None)(features)
-    for k, (bag, _) in enumerate(bags):
+    bag_labels, blank = [], []
+    seen = array("i")  # documents that hold a word, as one entry for each document and word
+    for text, label in rows:
+        bag = [w for s in sentences(text) if (w := s.split())]
+        if not bag:
+            blank.append(label)
+            continue
+        start = len(word)
         for s in bag:
             word.extend([words.setdefault(w, len(words)) for w in s])
             sentence.extend([n] * len(s))
-            of_bag.append(k)
+            of_bag.append(len(bag_labels))
             n += 1
-        for f in {f for w in {w for s in bag for w in s} for f in of(w)}:
-            df[f] = df.get(f, 0) + 1
+        seen.extend(set(word[start:]))
+        bag_labels.append(label)
+    empty = float(np.mean(blank)) if blank else 0.0
+    if not bag_labels:
+        return Model(-50.0, {}, empty)
+    # A feature counts the documents of its words, added up; rare ones and those beyond the limit go.
+    counts = np.bincount(np.frombuffer(seen, dtype=np.int32), minlength=len(words))
+    df: dict[bytes, int] = {}
+    for w, i in words.items():
+        for f in features(w):
+            df[f] = df.get(f, 0) + int(counts[i])
     kept = sorted((f for f, c in df.items() if c >= min_docs), key=lambda f: (-df[f], f))[:max_features]
+    del df
     number = {f: i for i, f in enumerate(kept)}
-    pairs = np.array([(i, number[f]) for w, i in words.items() for f in of(w) if f in number], dtype=np.int32).reshape(-1, 2)
-    of_word, feature = np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])
-    word, sentence, of_bag = (np.frombuffer(x, dtype=np.int32) for x in (word, sentence, of_bag))
-    of.cache_clear()
-    y = np.array([y for _, y in bags], dtype=np.float64)
+    of_word, feature = array("i"), array("i")
+    for w, i in words.items():
+        own = [number[f] for f in features(w) if f in number]
+        feature.extend(own)
+        of_word.extend([i] * len(own))
+    word, sentence, of_bag, of_word, feature = (np.frombuffer(x, dtype=np.int32) for x in (word, sentence, of_bag, of_word, feature))
+    y, bags = np.array(bag_labels, dtype=np.float64), len(bag_labels)
     weights, bias = np.zeros(len(kept)), BIAS
     squares, bias_squares = np.full(len(kept), 1e-6), 1e-6
     for _ in range(steps):
         by_word = np.bincount(of_word, weights=weights[feature], minlength=len(words))
         z = np.clip(bias + np.bincount(sentence, weights=by_word[word], minlength=n), -40, 40)
         p = 1 / (1 + np.exp(-z))
-        total = np.bincount(of_bag, weights=np.logaddexp(0, z), minlength=len(bags))
+        total = np.bincount(of_bag, weights=np.logaddexp(0, z), minlength=bags)
         ratio = np.where(y > 0, np.exp(-total) / np.maximum(-np.expm1(-total), 1e-12), -1.0)
         pull = p * ratio[of_bag]
         by_word = np.bincount(word, weights=pull[sentence], minlength=len(words))

@@ -23,7 +23,8 @@ DETECTOR_CLASSES = {3: "table", 4: "figure", 5: "caption", 6: "caption", 7: "hea
 TABLE_LINES = 3
 
 
-def bbox(x0, y0, x1, y1, width=F.lit(PAGE_WIDTH), height=F.lit(PAGE_HEIGHT)) -> Column:
+def bbox(x0, y0, x1, y1, width=None, height=None) -> Column:
+    width, height = (F.lit(d) if v is None else v for v, d in ((width, PAGE_WIDTH), (height, PAGE_HEIGHT)))
     names = ("x0", "y0", "x1", "y1", "page_width", "page_height")
     return F.struct(*[c.cast("double").alias(n) for c, n in zip((x0, y0, x1, y1, width, height), names)]).cast(BBOX)
 

@@ -137,23 +137,37 @@ def reading_order(boxes: list[tuple[float, float, float, float]], least: float =
 def xy_cut_order(regions: DataFrame, least: float = GAP) -> DataFrame:
     """``regions`` with region_index set to the place in reading order.
 
-    Cuts depend on the data, so each page goes to a Python worker as one group; only the key, the box
-    and the old index travel, and the order joins back by them. A group is one page.
+    Cuts depend on the data, so they run in Python workers: pages are dealt out by key and sorted, and a
+    task walks its pages as they come, holding one at a time. Only the key, the old index and the box
+    travel; the order joins back by them, on the same partitioning.
     """
     names = ["document_id", "page_number", "region_index"]
     kinds = {c: regions.schema[c].dataType.simpleString() for c in names}
 
-    def order(group):
-        boxes = list(zip(*(group[c].tolist() for c in ("x0", "y0", "x1", "y1"))))
-        ranks = {i: n for n, i in enumerate(reading_order(boxes, least))}
-        return group[names].assign(new_index=[ranks[i] for i in range(len(boxes))])
+    def run(batches):
+        import pyarrow as pa
+
+        def orders(rows):
+            places = {i: n for n, i in enumerate(reading_order([r[3:] for r in rows], least))}
+            return [(*r[:3], places[i]) for i, r in enumerate(rows)]
+
+        page: list[tuple] = []
+        for batch in batches:
+            out = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if page and row[:2] != page[0][:2]:
+                    out += orders(page)
+                    page = []
+                page.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate([*(batch.schema.field(c).type for c in names), pa.int32()])], [*names, "new_index"])
+            types = batch.schema
+        if page:
+            out = orders(page)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate([*(types.field(c).type for c in names), pa.int32()])], [*names, "new_index"])
 
     narrow = regions.select(*names, *[F.col(f"bbox.{c}").alias(c) for c in ("x0", "y0", "x1", "y1")])
-
-    def sorted_order(group):
-        return order(group.sort_values("region_index").reset_index(drop=True))
-
-    placed = narrow.groupBy("document_id", "page_number").applyInPandas(sorted_order, ", ".join(f"{c} {kinds[c]}" for c in names) + ", new_index int")
+    pages = narrow.repartition("document_id", "page_number").sortWithinPartitions(*names)
+    placed = pages.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in names) + ", new_index int")
     return regions.join(placed, names).drop("region_index").withColumnRenamed("new_index", "region_index").select(*regions.columns)
 
 

@@ -16,10 +16,10 @@ def counter(rows: DataFrame, *labels: str, name: str = "n") -> DataFrame:
 
 
 def histogram(rows: DataFrame, value: str, buckets: tuple[float, ...], *labels: str) -> DataFrame:
-    """(labels, le, n): how many values are at most each bound, and +Inf for all; one partial aggregate
+    """(labels, le, n): how many values are at most each bound, and all of them where le is null; one partial aggregate
     of a column a bucket, so no row is repeated."""
-    bounds = [*buckets, float("inf")]
-    sums = [F.coalesce(F.sum(F.when(F.col(value) <= b, 1).otherwise(0)), F.lit(0)).cast("long").alias(f"b{i}") for i, b in enumerate(bounds)]
+    bounds = [*buckets, None]
+    sums = [F.coalesce(F.sum(F.lit(1) if b is None else F.when(F.col(value) <= b, 1).otherwise(0)), F.lit(0)).cast("long").alias(f"b{i}") for i, b in enumerate(bounds)]
     wide = rows.where(F.col(value).isNotNull()).groupBy(*labels).agg(*sums)
     pairs = F.array(*[F.struct(F.lit(b).cast("double").alias("le"), F.col(f"b{i}").alias("n")) for i, b in enumerate(bounds)])
     return wide.select(*labels, F.explode(pairs).alias("x")).select(*labels, "x.le", "x.n")

@@ -6,15 +6,14 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 CURRENT_VERSION = 2
 SUPPORTED_VERSIONS = (1, 2)
 
 # Fixed values.
-REGION_TYPES = ("text", "table", "figure", "formula", "header", "footer", "caption")
-ENTITY_TYPES = ("ORG", "PERSON", "DATE", "MONEY", "LOCATION", "PRODUCT")
-STATUSES = ("pending", "processing", "complete", "review_required")
+REGION_TYPES = "text", "table", "figure", "formula", "header", "footer", "caption"
+ENTITY_TYPES = "ORG", "PERSON", "DATE", "MONEY", "LOCATION", "PRODUCT"
+STATUSES = "pending", "processing", "complete", "review_required"
 
 BBOX = "struct<x0:double,y0:double,x1:double,y1:double,page_width:double,page_height:double>"
 CELL = "struct<row:int,col:int,row_span:int,col_span:int,value:string,is_header:boolean>"
@@ -22,16 +21,13 @@ TABLE = f"struct<headers:array<string>,rows:array<array<string>>,cells:array<{CE
 ENTITY = "struct<text:string,type:string,value:string>"
 
 
-def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
-
-
-DOCUMENTS = _schema("document_id string, source_path string, content_hash string, format string, total_pages int, processing_status string, schema_version int, metadata map<string,string>")
-PAGES = _schema("document_id string, page_number int, native_text string, estimated_dpi int, quality_tier string, is_scanned boolean, metadata map<string,string>")
-REGIONS = _schema(
+# Schemas as DDL text: a Python worker that imports this module has no session to parse them with.
+DOCUMENTS = "document_id string, source_path string, content_hash string, format string, total_pages int, processing_status string, schema_version int, metadata map<string,string>"
+PAGES = "document_id string, page_number int, native_text string, estimated_dpi int, quality_tier string, is_scanned boolean, metadata map<string,string>"
+REGIONS = (
     f"region_id string, document_id string, page_number int, region_index int, region_type string, bbox {BBOX}, cropped_image_path string, content_hash string, detector_confidence double, metadata map<string,string>, schema_version int"
 )
-CHUNKS = _schema(
+CHUNKS = (
     f"chunk_id string, document_id string, page_number int, chunk_index int, reading_order_index int, content_type string, raw_text string, overview string, table_data {TABLE}, image_description string, formula_latex string, structured_data string, entities array<{ENTITY}>, cropped_image_path string, confidence_score double, correction_applied boolean, page_break_context string, caption string, metadata map<string,string>, schema_version int"
 )
 

@@ -18,7 +18,7 @@ PIECE = re.compile(r"\n(?=[^ \n])|[ \n]*[^\W_]+(?=[,.])|[ \n]*[^ \n]+|[ \n]+")
 OTHER_SPACE = re.compile(r"[^\S \n]")
 #: A full cache keeps what it has, which are the frequent pieces, until it has missed this many
 #: times its size: then the texts have changed, and it starts anew.
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 600_000
 STALE = 4
 LONGEST_CACHED = 48
 

@@ -8,7 +8,8 @@ totals as they are, until one of the three is decided. At most two documents rem
 
 For scale the flight runs in blocks of a source: each block leaves at most two undecided documents,
 which go to the next level's blocks, until a source has one block and lands. Documents go by falling
-size, so what remains to land is small. Random numbers come from source, level and block, so reruns agree.
+size, so sizes next to each other are alike; landing takes the rounding, and then a few exchanges of two
+documents, that come nearest to the source's tokens. Random numbers come from source, level and block, so reruns agree.
 
 Cases: null text has size 0; a null source is a source of its own, ordered last; documents of size
 0 take part in the document total; repeated rows are documents of their own; an empty table gives no
@@ -31,6 +32,7 @@ WEIGHTS = (1, 2, 3)
 SEED = 20_240_229
 BROADCAST_SOURCES = 100_000
 TINY = 1e-9
+EXCHANGES = 8
 
 
 def flight(p: np.ndarray, sizes: np.ndarray, rng: np.random.Generator, land: bool) -> np.ndarray:
@@ -75,9 +77,35 @@ def flight(p: np.ndarray, sizes: np.ndarray, rng: np.random.Generator, land: boo
         best = min(ways, key=lambda w: (abs(sum(x * size[i] for x, i in zip(w, active)) - due[0]), abs(sum(w) - due[1]), w))
         for i, x in zip(active, best):
             out[i] = float(x)
+    if land and open_:
+        due = sum(p[i] * size[i] for i in open_)
+        for _ in range(EXCHANGES):
+            if not _exchange(out, size, open_, due):
+                break
     return np.array(out)
 
 
+def _exchange(out: list[float], size: list[float], units: list[int], due: float) -> bool:
+    """A last step of landing: of all exchanges of a document that is in for one that is out the one,
+    if any, that brings the token total nearest to ``due``; the document total stays."""
+    error = sum(out[i] * size[i] for i in units) - due
+    inside = np.array([i for i in units if out[i] == 1.0])
+    outside = np.array(sorted((i for i in units if out[i] == 0.0), key=lambda i: size[i]))
+    if not len(inside) or not len(outside):
+        return False
+    sizes, have = np.array([size[i] for i in outside]), np.array([size[i] for i in inside])
+    at = np.searchsorted(sizes, have - error)
+    best = (abs(error) - TINY, -1, -1)
+    for other in (np.maximum(at - 1, 0), np.minimum(at, len(sizes) - 1)):
+        left = np.abs(error - have + sizes[other])
+        k = int(left.argmin())
+        if left[k] < best[0]:
+            best = (left[k], int(inside[k]), int(outside[other[k]]))
+    if best[1] >= 0:
+        out[best[1]], out[best[2]] = 0.0, 1.0
+    return best[1] >= 0
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
     """(source, n_docs, source_size, target) of (source, size): shares by weight of all sizes, no target
     above ``most`` times its source's size, the excess shared again by weight.
@@ -158,5 +186,6 @@ def repeat_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
         docs = docs.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id", "__words").orderBy("text")))
         taken = taken.withColumn("__m", F.row_number().over(Window.partitionBy("__id", "__size").orderBy("__copies")))
         same = same & (F.col("__words") == F.col("__size")) & (F.col("__n") == F.col("__m"))
-    joined = docs.join(taken.where("__copies > 0"), same)
+    # Both sides are shuffled by document at every size, so the plan doesn't change as the corpus grows.
+    joined = docs.join(taken.where("__copies > 0").hint("merge"), same)
     return joined.select(*names, F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("__copy")).select(names)

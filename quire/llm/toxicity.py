@@ -51,7 +51,7 @@ class WordWeights(dict):
         self.weights = weights
 
     def __missing__(self, word: bytes) -> float:
-        if len(self) >= 500_000:
+        if len(self) >= 200_000:
             self.clear()
         self[word] = total = sum(self.weights.get(f, 0.0) for f in features(word))
         return total

@@ -33,6 +33,8 @@ SAMPLE_BYTES = 1 << 18
 MAX_FEATURES = 100_000
 MIN_DOCS = 4
 BIAS = -9.0
+#: What a sentence of a clean text may score; only what is above it counts.
+FLOOR = 0.02
 FOLDS = 5
 ENDS = re.compile(rb"[.!?\n]+")
 
@@ -72,9 +74,9 @@ class Model:
         return {k: v for k, v in self.__dict__.items() if k != "_words"}
 
     def sentence_rates(self, text: str | None) -> list[float]:
-        """-log(1 - p) of each sentence that has words, less that of a sentence without evidence:
-        else a clean text would score the higher, the more sentences it has."""
-        weight, out, least = self.words().__getitem__, [], softplus(self.bias)
+        """-log(1 - p) of each sentence that has words, less a floor: without it a clean text would
+        score the higher, the more sentences it has."""
+        weight, out, least = self.words().__getitem__, [], max(FLOOR, softplus(self.bias))
         for sentence in sentences(text):
             words = sentence.split()
             if words:

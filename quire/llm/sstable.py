@@ -36,8 +36,8 @@ KEY = struct.Struct(">BQI")
 BLOCK_BYTES = 64 << 10
 BLOOM_BITS_PER_KEY = 10
 BLOOM_HASHES = 7
-#: Data blocks that a reader fetches at once.
-READ_BYTES = 4 << 20
+#: Rows whose texts are encoded together.
+ENCODE_ROWS = 1000
 
 
 def key_of(doc_id: int | None, ordinal: int = 0) -> bytes:
@@ -209,16 +209,22 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int | None = 2, f
         tail = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
         where, inner = fs.FileSystem.from_uri(folder)
         name = f"shard-{context.partitionId():06d}-{context.taskAttemptId()}.sst"
+
+        def encoded(batch):
+            for at in range(0, batch.num_rows, ENCODE_ROWS):
+                part = batch.slice(at, ENCODE_ROWS)
+                yield from zip(part.column(0).to_pylist(), enc.encode_all(part.column(1).to_pylist()))
+
         out, writer, last, ordinal = None, None, object(), 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, ids in encoded(batch):
                 if writer is None:
                     where.create_dir(inner, recursive=True)
                     out = where.open_output_stream(f"{inner}/{name}")
                     writer = Writer(out, width)
                 ordinal = ordinal + 1 if doc_id == last else 0
                 last = doc_id
-                writer.add(key_of(doc_id, ordinal), np.frombuffer(enc.encode(text) + tail, dtype="<u4"))
+                writer.add(key_of(doc_id, ordinal), np.frombuffer(ids + tail, dtype="<u4"))
         if writer is not None:
             n_bytes = writer.finish()
             out.close()

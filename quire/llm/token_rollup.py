@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from quire.llm.bpe import encoder
 from quire.llm.common import SPACE_WORD, drop_folder, materialize, new_folder
 
+#: Rows whose texts are encoded together.
+ENCODE_ROWS = 1000
 KEY = ("source", "lang", "version")
 SCHEMA = "source string, lang string, version string, n_docs long, n_tokens long"
 
@@ -115,7 +117,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
 
         for batch in batches:
             enc = encoder(tokenizer_path)
-            counts = [len(enc.encode(t)) // 4 for t in batch.column(0).to_pylist()]
+            texts = batch.column(0).to_pylist()
+            counts = [len(ids) // 4 for at in range(0, len(texts), ENCODE_ROWS) for ids in enc.encode_all(texts[at : at + ENCODE_ROWS])]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(counts, pa.int64())], [*batch.schema.names[1:], "tokens"])
 
     text = F.coalesce(F.col(text_col), F.lit(""))

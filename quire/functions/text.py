@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: What str.strip() and str.split() take for white space.
-SPACE = r"[\x09-\x0D\x1C-\x20\x85\xA0  -     　]"
+#: What str.strip() takes for white space, by code point ranges.
+SPACE = "".join(chr(c) for a, b in ((0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)) for c in range(a, b + 1))
 #: What str.splitlines() takes for a line end.
-LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85  ]"
+LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]"
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"\A{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(text, F.lit(SPACE))
 
 
 def rstrip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"{SPACE}+\z", "")
+    return F.rtrim(text, F.lit(SPACE))
 
 
 def splitlines(text: Column) -> Column:

@@ -21,7 +21,8 @@ PLAIN = re.compile(r" [a-zA-Z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]{1,47}")
 OTHER_SPACE = re.compile(r"[^\S \n]")
 #: A full cache keeps what it has, which are the frequent pieces, until it has missed this many
 #: times its size: then the texts have changed, and it starts anew.
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 600_000
+OTHER_ENTRIES = 50_000
 STALE = 4
 LONGEST_CACHED = 48
 
@@ -29,9 +30,9 @@ LONGEST_CACHED = 48
 class Cache(dict):
     """Ids of pieces; a piece it lacks is encoded. Full, it keeps what it has, the frequent pieces."""
 
-    def __init__(self, ids):
+    def __init__(self, ids, entries: int):
         super().__init__()
-        self.ids, self.missed = ids, 0
+        self.ids, self.entries, self.missed = ids, entries, 0
 
     def __missing__(self, piece: str) -> bytes:
         found = self.ids(piece)
@@ -41,12 +42,12 @@ class Cache(dict):
 
     def shrink(self, before: int, missed: int) -> None:
         """Forget what came last, down to the bound; or everything, if the texts have changed."""
-        if len(self) > CACHE_ENTRIES:
+        if len(self) > self.entries:
             self.missed += missed
-            if self.missed > STALE * CACHE_ENTRIES:
+            if self.missed > STALE * self.entries:
                 self.missed = 0
                 self.clear()
-            for _ in range(len(self) - max(before, CACHE_ENTRIES)):
+            for _ in range(len(self) - max(before, self.entries)):
                 self.popitem()
 
 
@@ -58,8 +59,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.plain = Cache(self._ids)  # pieces of the quick cut, none that it must not make
-        self.others = Cache(self._ids)
+        self.plain = Cache(self._ids, CACHE_ENTRIES)  # pieces of the quick cut, none that it must not make
+        self.others = Cache(self._ids, OTHER_ENTRIES)
 
     def encode(self, text: str | None) -> bytes:
         return self.encode_all([text])[0]

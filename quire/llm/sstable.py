@@ -37,7 +37,7 @@ BLOCK_BYTES = 64 << 10
 BLOOM_BITS_PER_KEY = 10
 BLOOM_HASHES = 7
 #: Rows whose texts are encoded together.
-ENCODE_ROWS = 1000
+ENCODE_ROWS = 200
 
 
 def key_of(doc_id: int | None, ordinal: int = 0) -> bytes:

@@ -28,7 +28,7 @@ from quire.llm.bpe import encoder
 from quire.llm.common import SPACE_WORD, drop_folder, materialize, new_folder
 
 #: Rows whose texts are encoded together.
-ENCODE_ROWS = 1000
+ENCODE_ROWS = 200
 KEY = ("source", "lang", "version")
 SCHEMA = "source string, lang string, version string, n_docs long, n_tokens long"
 

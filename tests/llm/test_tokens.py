@@ -32,6 +32,7 @@ def test_full_cache(monkeypatch, library):
     from quire.llm import bpe
 
     monkeypatch.setattr(bpe, "CACHE_ENTRIES", 3)
+    monkeypatch.setattr(bpe, "OTHER_ENTRIES", 3)
     enc = Encoder(tokenizer_path())
     for text in ["a b c d e f g h", "one two three four five six, seven. eight", "a b c", "(a) b!! c?? d:: e;;"] * 3:
         assert np.frombuffer(enc.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids

@@ -143,7 +143,7 @@ def first_of_content(documents: DataFrame, order: str = "source_path") -> DataFr
 
 def unseen(documents: DataFrame, stored: DataFrame | None) -> DataFrame:
     """Documents whose content_hash isn't stored yet."""
-    return documents if stored is None else documents.join(stored.select("content_hash").distinct(), "content_hash", "left_anti").select(documents.columns)
+    return documents if stored is None else documents.join(stored.select("content_hash"), "content_hash", "left_anti").select(documents.columns)
 
 
 def select_sinks(names: Iterable[str], targets: Iterable[str] | None) -> list[str]:

@@ -131,7 +131,9 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
 
 def copies_of_earlier(counts: DataFrame) -> DataFrame:
     """The rows whose text an earlier doc_id has too."""
-    first = counts.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    # Only digests that repeat are joined, from a written table, so the join may split a hot one.
+    first = counts.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = materialize(first, "token-first")
     return counts.join(first, "digest").where("doc_id > first").drop("first")
 
 

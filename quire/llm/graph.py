@@ -12,7 +12,8 @@ MAX_ROUNDS = 60
 
 def _star(links: DataFrame) -> DataFrame:
     """For links (hub, leaf): each leaf to the least of hub and its leaves."""
-    least = links.groupBy("hub").agg(F.least("hub", F.min("leaf")).alias("m"))
+    # Written first: the join below may then split a hub that has very many leaves.
+    least = materialize(links.groupBy("hub").agg(F.least("hub", F.min("leaf")).alias("m")), "least")
     return links.join(least, "hub").select("hub", "leaf", "m")
 
 
@@ -33,8 +34,8 @@ def components(links: DataFrame) -> DataFrame:
         if not state[0]:
             break
         both = links.select(F.col("a").alias("hub"), F.col("b").alias("leaf")).union(links.select(F.col("b").alias("hub"), F.col("a").alias("leaf")))
-        large = _star(both).where("leaf > hub").select(F.col("leaf").alias("a"), F.col("m").alias("b"))
-        small = _star(large.distinct().select(F.col("a").alias("hub"), F.col("b").alias("leaf")))
+        large = materialize(_star(both).where("leaf > hub").select(F.col("leaf").alias("hub"), F.col("m").alias("leaf")).distinct(), "links")
+        small = _star(large)
         moved = small.select(F.col("leaf").alias("a"), F.col("m").alias("b")).union(small.select(F.col("hub").alias("a"), F.col("m").alias("b")))
         links = materialize(moved.where("a <> b").distinct(), "links")
         before, state = state, _state(links)

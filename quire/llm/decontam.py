@@ -45,14 +45,19 @@ class Benchmark:
         self.window = window
         self.vocabulary: dict[bytes, int] = {}
         owners: dict[tuple[int, ...], set[str]] = {}
+        places: dict[tuple[int, ...], list[tuple[int, int]]] = {}
+        self.ids, self.sizes = [item_id for item_id, _ in items], []
         number = lambda w: self.vocabulary.setdefault(w, len(self.vocabulary) + 1)
-        for item_id, text in items:
+        for at, (item_id, text) in enumerate(items):
             ids = [number(w) for w in words_of(text)]
             n = min(window, len(ids))
+            self.sizes.append(n)
             for i in range(len(ids) - n + 1 if n else 0):
+                places.setdefault(tuple(ids[i : i + n]), []).append((at, i))
                 owners.setdefault(tuple(ids[i : i + n]), set()).update([] if item_id is None else [str(item_id)])
         windows = list(owners)
         self.owners = [sorted(owners[w]) for w in windows]
+        self.places = [places[w] for w in windows]
         self.lengths = np.array([len(w) for w in windows], dtype=np.int64)
         ids = np.zeros((len(windows), window + window % 2), dtype=np.uint64)
         for row, w in zip(ids, windows):
@@ -129,25 +134,17 @@ def search(ids: np.ndarray, bench: Benchmark) -> tuple[np.ndarray, np.ndarray]:
     return positions[slot], which
 
 
-def longest_matches(ids: np.ndarray, item: np.ndarray, bench: Benchmark) -> list[tuple[int, int, int]]:
-    """Maximal verbatim matches of one item in one shard: (item word, shard word, words)."""
-    at, which = search(ids, bench)
-    keys = {tuple(k): i for i, k in enumerate(bench.low.tolist())}
-    n, width, by = min(bench.window, len(item)), bench.low.shape[1] * 2, {}
-    for p, w in zip(at.tolist(), which.tolist()):
-        by.setdefault(w, []).append(p)
-    found, starts = [], set()
-    for j in range(len(item) - n + 1 if n else 0):
-        row = np.zeros((1, width), dtype=np.uint64)
-        row[0, :n] = item[j : j + n]
-        for p in by.get(keys.get(tuple(pack(row)[0].tolist())), ()):
-            starts.add((j, p))
-    for j, p in sorted(starts):
-        if (j - 1, p - 1) not in starts:
-            k = n
-            while j + k < len(item) and p + k < len(ids) and item[j + k] == ids[p + k]:
+def maximal(at: np.ndarray, which: np.ndarray, bench: Benchmark) -> list[tuple[int, int, int, int]]:
+    """Longest verbatim matches from the places of windows in a shard: (item number, item word, shard
+    word, words). Windows that follow each other in both texts are parts of one match."""
+    starts = {(item, j, p) for p, w in zip(at.tolist(), which.tolist()) for item, j in bench.places[w]}
+    found = []
+    for item, j, p in sorted(starts):
+        if (item, j - 1, p - 1) not in starts:
+            k = 1
+            while (item, j + k, p + k) in starts:
                 k += 1
-            found.append((j, p, k))
+            found.append((item, j, p, int(bench.sizes[item]) + k - 1))
     return found
 
 
@@ -235,6 +232,36 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
     return rows
 
 
+MATCHES = "doc_id long, item_id string, item_word long, doc_word long, n_words long"
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
+    """The longest verbatim matches of a window or more and where they stand in item and document, in
+    words from 0: doc_id, item_id, item_word, doc_word, n_words."""
+    spark, out = docs.sparkSession, None
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    for block in _blocks(benchmark, block_bytes, item_col, text_col):
+        shared = spark.sparkContext.broadcast(Benchmark([tuple(r) for r in block.collect()], window))
+
+        def run(batches, shared=shared):
+            import pyarrow as pa
+
+            bench = shared.value
+            get, zero = bench.vocabulary.get, repeat(0)
+            for batch in batches:
+                told: list[tuple] = []
+                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    words = words_of(text)
+                    ids = np.fromiter(map(get, words, zero), dtype=np.int32, count=len(words))
+                    told += [(doc_id, None if bench.ids[i] is None else str(bench.ids[i]), j, p, n) for i, j, p, n in maximal(*search(ids, bench), bench)]
+                kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*told)) or [()] * 5, kinds)], ["doc_id", "item_id", "item_word", "doc_word", "n_words"])
+
+        part = rows.mapInArrow(run, MATCHES)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that aren't contaminated; order within a file is kept."""
     spark, out = docs.sparkSession, docs

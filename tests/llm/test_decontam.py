@@ -2,7 +2,6 @@ import hashlib
 import random
 import re
 
-import numpy as np
 import pytest
 
 from quire.llm import decontam
@@ -73,12 +72,14 @@ def test_small_shards(spark, monkeypatch):
     assert [(n, int(h.sum())) for n, h, _ in found] == [brute([d], items)[0][1:3] for d in docs]
 
 
-def test_longest_matches():
-    bench = decontam.Benchmark([(1, " ".join(f"w{i}" for i in range(30)))])
-    number = lambda text: np.array([bench.vocabulary.get(w.encode(), 0) for w in text.split()], dtype=np.int32)
-    item = number(" ".join(f"w{i}" for i in range(30)))
-    shard = number("a b " + " ".join(f"w{i}" for i in range(5, 25)) + " c " + " ".join(f"w{i}" for i in range(15, 30)) + " " + " ".join(f"w{i}" for i in range(12)))
-    assert decontam.longest_matches(shard, item, bench) == [(5, 2, 20), (15, 23, 15)]
+@pytest.mark.parametrize("block_bytes", [1 << 20, 150])
+def test_longest_matches(spark, block_bytes):
+    item = [f"w{i}" for i in range(30)]
+    text = " ".join(["a", "b", *item[5:25], "c", *item[15:], *item[:12], "Short", "ONE."])
+    docs = spark.createDataFrame([(1, text), (2, "short one short"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(item)), (8, "short one"), (9, "")], "item_id long, text string")
+    got = {tuple(r) for r in decontam.matches(docs, items, block_bytes=block_bytes).collect()}
+    assert got == {(1, "7", 5, 2, 20), (1, "7", 15, 23, 15), (1, "8", 0, 50, 2), (2, "8", 0, 0, 2)}
 
 
 def test_odd_rows(spark, odd_docs, no_docs):

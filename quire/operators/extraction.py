@@ -36,6 +36,11 @@ def prompt(kind: Column, prompts: dict[str, tuple[str, str]], suffix: str = "",
     return F.concat_ws("\n\n", own, *map(F.lit, more))
 
 
+def image_url(content: Column, media_type: str = "image/png") -> Column:
+    """An image as a data URI, for a message of a chat model."""
+    return F.concat(F.lit(f"data:{media_type};base64,"), F.base64(content))
+
+
 def answer_text(response: Column) -> Column:
     """The message of a chat completion; empty if it isn't there."""
     return F.coalesce(F.get_json_object(response, "$.choices[0].message.content"), F.lit(""))

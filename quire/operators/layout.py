@@ -65,6 +65,35 @@ def full_page_regions(pages: DataFrame) -> DataFrame:
     return pages.select("document_id", "page_number", F.lit(0).alias("region_index"), F.lit("text").alias("region_type"), bbox(F.lit(0), F.lit(0), F.lit(PAGE_WIDTH), F.lit(PAGE_HEIGHT)).alias("bbox"), F.col("native_text").alias("text"), F.lit(1.0).alias("detector_confidence"))
 
 
+MIN_CONFIDENCE = 0.25
+
+
+def detect_regions(pages: DataFrame, detector, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """Regions that a detector finds on pages with an image column, in its order.
+
+    The detector is any object with ``detect(image) -> [(class, x0, y0, x1, y1, confidence)]`` and
+    ``size(image) -> (width, height)``; it is sent to the executors once a task.
+    """
+    schema = "document_id string, page_number int, region_index int, class_id int, x0 double, y0 double, x1 double, y1 double, page_width double, page_height double, detector_confidence double"
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = []
+            for document, page, image in zip(*(c.to_pylist() for c in batch.columns)):
+                size = tuple(map(float, detector.size(image)))
+                kept = [d for d in detector.detect(image) if d[5] >= min_confidence]
+                rows += [(document, page, i, d[0], *map(float, d[1:5]), *size, float(d[5])) for i, d in enumerate(kept)]
+            kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), *[pa.float64()] * 7]
+            names = [f.split()[0] for f in schema.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 11, kinds)], names)
+
+    found = pages.select(F.col("document_id").cast("string"), F.col("page_number").cast("int"), "image").mapInArrow(run, schema)
+    box = bbox(*[F.col(c) for c in ("x0", "y0", "x1", "y1", "page_width", "page_height")])
+    return found.select("document_id", "page_number", "region_index", region_type(F.col("class_id")).alias("region_type"), box.alias("bbox"), "detector_confidence")
+
+
 def virtual_regions(pages: DataFrame) -> DataFrame:
     """Regions of text pages (document_id, page_number, native_text), by the geometry of their rendering:
     runs of three or more lines with a pipe are tables, every other line with text is a text region.

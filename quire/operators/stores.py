@@ -189,10 +189,30 @@ def write_to_sinks(documents: DataFrame, sinks: dict[str, Callable[[DataFrame],
 def embed_source(chunks: DataFrame, visual: bool = False) -> DataFrame:
     """(chunk_id, embed_kind, embed_input): what of a chunk is embedded: a figure's image if visual
     embedding is on, else its description; the overview of anything else."""
+    col = lambda c: F.col(c) if c in chunks.columns else F.lit(None).cast("string")
     figure = F.col("content_type") == "figure"
-    path = F.coalesce(F.col("cropped_image_path"), F.lit("")) != ""
+    path = F.coalesce(col("cropped_image_path"), F.lit("")) != ""
     image = figure & F.lit(visual) & path
-    described = figure & (F.coalesce(F.col("image_description"), F.lit("")) != "")
+    described = figure & (F.coalesce(col("image_description"), F.lit("")) != "")
     kind = F.when(image, "image").when(described, "description").otherwise("overview")
-    value = F.when(image, F.col("cropped_image_path")).when(described, F.col("image_description")).otherwise(F.coalesce("overview", F.lit("")))
+    value = F.when(image, col("cropped_image_path")).when(described, col("image_description")).otherwise(F.coalesce("overview", F.lit("")))
     return chunks.select("chunk_id", kind.alias("embed_kind"), value.alias("embed_input"))
+
+
+def embed_chunks(chunks: DataFrame, embedder, visual: bool = False) -> DataFrame:
+    """(vector payload, vector) of chunks: what embed_source picks goes through the embedder, any object
+    with ``embed(text) -> list of floats``. Columns of the payload that chunks lack are left out."""
+    payload = [c for c in VECTOR_PAYLOAD if c in chunks.columns]
+    rows = chunks.join(embed_source(chunks, visual), "chunk_id").select(*payload, "embed_input")
+    at = len(payload)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            vectors = pa.array([embedder.embed(t) for t in batch.column(at).to_pylist()], pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], vectors], [*payload, "vector"])
+
+    from pyspark.sql import types as T
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:at], T.StructField("vector", T.ArrayType(T.FloatType()))]))

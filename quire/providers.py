@@ -21,6 +21,18 @@ class Embedder(Protocol):
     def embed(self, text: str) -> list[float]: ...
 
 
+class Detector(Protocol):
+    def detect(self, image: bytes) -> list[tuple[int, float, float, float, float, float]]: ...
+
+    def size(self, image: bytes) -> tuple[float, float]: ...
+
+
+class PageReader(Protocol):
+    """For formats without a reader here (PDF, Word, images, .msg): pages of a file as text and image."""
+
+    def pages(self, content: bytes) -> list[tuple[str, bytes | None]]: ...
+
+
 class RuleExtractor:
     """Answers with the region's own text, its first sentence as overview, and capitalised words as entities."""
 

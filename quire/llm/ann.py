@@ -14,7 +14,8 @@ returns its k best for each query, so the shuffle holds k rows for each query an
 
 Cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do rows
 without identifier or whose length isn't the commonest (of equals, the shorter). Equal distances go
-to the smaller identifier; among equal scanned scores smaller identifiers come first too. A repeated
+to the smaller identifier; equal vectors are scanned as one, and all
+vectors that tie with the last of ``rerank`` are reranked too. A repeated
 identifier counts once, with its least vector. Other columns are ignored.
 """
 
@@ -32,7 +33,7 @@ SAMPLE = 8_192
 CENTRES = 16
 PARALLEL_THRESHOLD = 0.2
 ROUNDS = 8
-RERANK = 128
+RERANK = 400
 QUERY_BLOCK = 4_096
 QUERIES_AT_ONCE = 64
 K = 10
@@ -185,9 +186,18 @@ def _scanner(book, shared, dim: int, k: int, rerank: int):
             if not batch.num_rows:
                 continue
             _, ids, vectors = _usable(batch.column(0), batch.column(1), dim)
+            vectors = np.ascontiguousarray(vectors)
             codes = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1)
-            order = np.argsort(ids, kind="stable")  # of equal scores the smaller identifiers are taken
-            ids, vectors, codes = ids[order], vectors[order], codes[order]
+            # Equal vectors are scanned as one, so copies don't crowd out others; the k + 1 smallest
+            # identifiers of each stand for it (one may be the query's own). Smaller identifiers come first.
+            _, first, group = np.unique(vectors.view(np.dtype((np.void, vectors.shape[1] * 8))).ravel(), return_index=True, return_inverse=True)
+            members = np.lexsort((ids, group))
+            counts = np.bincount(group)
+            begins = np.cumsum(counts) - counts
+            order = np.argsort(ids[members[begins]], kind="stable")
+            own, begins, counts = ids[members], begins[order], np.minimum(counts[order], k + 1)
+            first = first[order]
+            vectors, codes = vectors[first], codes[first]
             half = ((vectors**2).sum(1) / 2).astype(np.float32)
             for at in range(0, len(query_ids), QUERIES_AT_ONCE):
                 some = slice(at, at + QUERIES_AT_ONCE)
@@ -195,16 +205,18 @@ def _scanner(book, shared, dim: int, k: int, rerank: int):
                 scores = np.tile(-half, (tables.shape[0], 1))
                 for m in range(tables.shape[1]):
                     scores += tables[:, m].take(codes[:, m], axis=1)
-                keep = min(rerank, len(ids))
-                least = np.partition(scores, len(ids) - keep, axis=1)[:, len(ids) - keep]
+                n = len(vectors)
+                keep = min(rerank, n)
+                least = np.partition(scores, n - keep, axis=1)[:, n - keep]
                 for q in range(tables.shape[0]):
-                    above = np.flatnonzero(scores[q] > least[q])
-                    level = np.flatnonzero(scores[q] == least[q])[: keep - len(above)]
-                    near = np.concatenate([above, level])
-                    near = near[ids[near] != query_ids[at + q]]
+                    near = np.flatnonzero(scores[q] >= least[q])  # all of a tie: codes can't tell dense vectors apart
                     distance = np.sqrt(((vectors[near] - queries[at + q]) ** 2).sum(1))
+                    n_ids = counts[near]
+                    slots = np.arange(n_ids.sum()) - np.repeat(np.cumsum(n_ids) - n_ids, n_ids) + np.repeat(begins[near], n_ids)
+                    near_ids, distance = own[slots], np.repeat(distance, n_ids)
+                    other = near_ids != query_ids[at + q]
                     old_ids, old = best[at + q]
-                    all_ids, all_ = np.concatenate([old_ids, ids[near]]), np.concatenate([old, distance])
+                    all_ids, all_ = np.concatenate([old_ids, near_ids[other]]), np.concatenate([old, distance[other]])
                     top = np.lexsort((all_ids, all_))[:k]
                     best[at + q] = all_ids[top], all_[top]
         counts = [len(i) for i, _ in best]

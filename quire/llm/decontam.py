@@ -267,10 +267,10 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WIN
     spark, out = docs.sparkSession, docs
     at = docs.columns.index(text_col)
     blocks = _blocks(benchmark, block_bytes, "item_id", "text")
-    if len(blocks) > 1:  # hits add up over blocks, so the flags come from the scan of all blocks
-        flagged = scan(docs.select(F.xxhash64(text_col).alias("doc_id"), text_col, F.sha2(text_col, 256).alias("key")), benchmark, window, block_bytes, "doc_id", text_col)
-        bad = flagged.where("contaminated").select(F.col("doc_id").alias("__text")).distinct()
-        return docs.withColumn("__text", F.xxhash64(text_col)).join(bad, "__text", "left_anti").drop("__text")
+    if len(blocks) > 1:  # hits add up over blocks, so rows get a number, are scanned by all, and then judged
+        numbered = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "decontam-rows")
+        bad = scan(numbered, benchmark, window, block_bytes, "__row", text_col).where("contaminated").select(F.col("doc_id").alias("__row"))
+        return numbered.join(bad, "__row", "left_anti").select(docs.columns)
     shared = spark.sparkContext.broadcast(Benchmark([tuple(r) for r in blocks[0].collect()], window))
 
     def run(batches):

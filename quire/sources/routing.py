@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import mimetypes
+import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,20 +40,23 @@ def suffix(path: Column) -> Column:
     return F.lower(F.regexp_extract(name, r"^.+(\.[^.]+)$", 1))
 
 
-def media_type(path: Column) -> Column:
-    @F.pandas_udf("string")
-    def run(paths: pd.Series) -> pd.Series:
-        return paths.map(lambda p: mimetypes.guess_type(p)[0] if p is not None else None)
+def by_media_type(path: Column) -> Column:
+    """The reader by the media type that the platform's table gives a suffix; null if none does.
 
-    return run(path)
+    The table is small and known when the plan is made, so it becomes a literal map; a compression
+    suffix is taken off first, as the table's own lookup does.
+    """
+    known = {t: r for r, types in MEDIA.items() for t in types}
+    mimetypes.init()
+    table = {s: known[t] for s, t in mimetypes.types_map.items() if t in known}
+    pairs = [F.lit(x) for item in sorted(table.items()) for x in item]
+    packed = "|".join(re.escape(s) for s in mimetypes.encodings_map)
+    return F.element_at(F.create_map(*pairs), suffix(F.regexp_replace(path, f"(?:{packed})$", "")))
 
 
-def reader(path: Column, guess_media: bool = True) -> Column:
-    """By suffix, else by media type, else text. Media types are only guessed where no suffix is known."""
-    known = _lookup(suffix(path), READERS)
-    if not guess_media:
-        return F.coalesce(known, F.lit("text"))
-    return F.coalesce(known, _lookup(media_type(F.when(known.isNull(), path)), MEDIA), F.lit("text"))
+def reader(path: Column) -> Column:
+    """By suffix, else by media type, else text."""
+    return F.coalesce(_lookup(suffix(path), READERS), by_media_type(path), F.lit("text"))
 
 
 def format_label(path: Column) -> Column:

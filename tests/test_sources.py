@@ -29,7 +29,7 @@ def test_splitlines_like_python(spark, text):
     "path,reader,label",
     [
         ("a/b.pdf", "pdf", "pdf"), ("b.DOC", "docx", "doc"), ("x.tar.JPEG", "image", "image"), ("p/q.htm", "text", "text"), ("m.eml", "email", "email"),
-        ("t.xlsm", "excel", "excel"), ("noext", "text", "unknown"), ("a.b/c", "text", "unknown"), ("x.zzz", "text", "zzz"), ("y.jpe", "image", "jpe"), (".csv", "text", "unknown"),
+        ("t.xlsm", "excel", "excel"), ("noext", "text", "unknown"), ("a.b/c", "text", "unknown"), ("x.zzz", "text", "zzz"), ("y.jpe", "image", "jpe"), ("z.pdf.gz", "pdf", "gz"), ("w.mp3", "text", "mp3"), (".csv", "text", "unknown"),
     ],
 )
 def test_routes(spark, path, reader, label):

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from quire.llm.common import ALNUM_TABLE, materialize
 
 WINDOW = 13
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 2 << 20  # some hundred bytes of memory for each word
 SHARD_WORDS = 2 << 20
 PAIR_BITS = 22
 

@@ -20,10 +20,13 @@ def session(master: str | None = None, app: str = "quire", **settings: str) -> S
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share, named by spark.checkpoint.dir; made only where none is set."""
+    import atexit
+    import shutil
     import tempfile
 
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         base = "file://" + tempfile.mkdtemp(prefix="quire-")
+        atexit.register(shutil.rmtree, base[7:], True)
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")

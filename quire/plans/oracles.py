@@ -129,7 +129,7 @@ SELECT conv_id, anchor, string_agg(text, ' ' ORDER BY turn) AS caption FROM i WH
         "table_continuation": _with(turn_tables, "SELECT document_id, page_number, is_continuation, CASE WHEN is_continuation THEN 0.9 ELSE 0.0 END::DOUBLE AS continuation_confidence FROM k"),
         "table_merge": _with(
             f"{turn_tables}, g AS (SELECT *, sum(CASE WHEN is_continuation THEN 0 ELSE 1 END) OVER (PARTITION BY document_id ORDER BY page_number ROWS UNBOUNDED PRECEDING) AS g FROM k WHERE kind = 'table')",
-            "SELECT arg_min(chunk_id, page_number) AS chunk_id, min(page_number) AS page_number, string_agg(chunk_id, ',' ORDER BY page_number) AS rows, CASE WHEN count(*) > 1 THEN min(page_number) END AS continued_from_page, CASE WHEN count(*) > 1 THEN 0.9::DOUBLE END AS merge_confidence FROM g GROUP BY document_id, g",
+            "SELECT arg_min(chunk_id, page_number) AS chunk_id, min(page_number) AS page_number, string_agg(chunk_id, ',' ORDER BY page_number) AS rows, CASE WHEN count(*) > 1 THEN min(page_number) ELSE -1 END AS continued_from_page, CASE WHEN count(*) > 1 THEN 0.9 ELSE 0.0 END::DOUBLE AS merge_confidence FROM g GROUP BY document_id, g",
         ),
         "table_cell_match": _with(PARSED, "SELECT doc_id FROM parsed WHERE len(list_filter(flatten(rows_), lambda v: v > 'm')) > 0"),
         "prompt_build": _prompt(),

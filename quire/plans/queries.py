@@ -234,7 +234,7 @@ def table_merge(spark, sf_dir):
     found = tables.continuations(_turn_tables(spark, sf_dir)).where("content_type = 'table'")
     parts = found.withColumns({"headers": F.array(F.lit("ending")), "rows": F.array(F.array("chunk_id"))})
     merged = tables.merge_continued(parts)
-    return merged.select("chunk_id", "page_number", F.array_join(F.flatten("rows"), ",").alias("rows"), "continued_from_page", "merge_confidence")
+    return merged.select("chunk_id", "page_number", F.array_join(F.flatten("rows"), ",").alias("rows"), F.coalesce("continued_from_page", F.lit(-1)).alias("continued_from_page"), F.coalesce("merge_confidence", F.lit(0.0)).alias("merge_confidence"))
 
 
 def table_cell_match(spark, sf_dir):

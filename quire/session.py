@@ -18,6 +18,19 @@ def session(master: str | None = None, app: str = "quire", **settings: str) -> S
     return (builder.master(master) if master else builder).getOrCreate()
 
 
+def find_package(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it, wherever they are started.
+    On a cluster whose executors don't have that folder, install the package or use addPyFile."""
+    import os
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share, named by spark.checkpoint.dir; made only where none is set."""
     import atexit

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.session import find_package
+
 #: Word patterns of the contracts, in the syntax that Java, RE2 and Python share.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -26,7 +28,7 @@ ALNUM_TABLE = bytes(
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return find_package(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,6 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where none is set (single-machine tests) a temporary folder is made and set.
     """
+    find_package(spark)
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         base = spark.sparkContext.getCheckpointDir()

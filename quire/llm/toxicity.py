@@ -111,7 +111,7 @@ def sample(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, s
     return list(zip(found.column(0).to_pylist(), found.column(1).to_pylist()))
 
 
-def train(rows: list[tuple[str, int]], max_features: int = MAX_FEATURES, min_docs: int = MIN_DOCS, steps: int = 120, rate: float = 0.5, penalty: float = 1.0) -> Model:
+def train(rows: list[tuple[str, int]], max_features: int = MAX_FEATURES, min_docs: int = MIN_DOCS, steps: int = 120, rate: float = 0.5, penalty: float = 0.5) -> Model:
     """Fit on (text, label) rows; the order of rows doesn't matter but for rounding."""
     # One text at a time becomes numbers: of each word its number and sentence, of each sentence its bag.
     words: dict[bytes, int] = {}

@@ -3,30 +3,51 @@
 The pre-tokeniser of a byte-level BPE never lets a token cross certain places: from a character
 that is not white space to one that is, past a lone line end between two that aren't, or from a
 letter or digit to a comma or full stop. So a text cut at those places may be encoded piece by
-piece, and pieces (mostly a space and a word) repeat: each is encoded by the library once a worker.
+piece, and pieces (mostly a space and a word) repeat. A piece that the cache lacks and that holds
+only ASCII signs and Latin letters is cut further into the pre-tokens it surely has, and each goes to
+the library's BPE model; any other piece goes through the library's whole tokenizer, and so does a
+text whose tokenizer isn't of this kind or that holds one of its added tokens.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
-from functools import lru_cache
+
+from quire.llm.common import worker_state
 
 PIECE = re.compile(r"\n(?=[^ \n])|[ \n]*[^\W_]+(?=[,.])|[ \n]*[^ \n]+|[ \n]+")
-#: With one of these the quick way to cut a text doesn't hold.
-CROWDED = ("\0", "  ", "\n\n", " \n", "\n ", "..", ",,", ".,", ",.", "\n.", "\n,")
-PLAIN = re.compile(r" [a-zA-Z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]{1,47}")
+#: With one of these the quick way to cut a text doesn't hold, nor with a comma or full stop that doesn't
+#: follow a letter or digit (it may share a token with what is before it).
+CROWDED = ("\0", "  ", "\n\n", " \n", "\n ")
+LOOSE_POINT = re.compile(r"[.,](?<![^\W_][.,])")
+LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
+#: A piece whose pre-tokens are known: no white space but one space first, no apostrophe.
+KNOWN = re.compile(f" ?[!-&(-~{LATIN}]+")
+PRE_TOKEN = re.compile(f" ?[{LATIN}]+| ?[0-9]+| ?[^ 0-9{LATIN}]+")
 #: Other white space, or what one library counts as such and another doesn't.
 OTHER_SPACE = re.compile(r"[^\S \n]")
 #: A full cache keeps what it has, which are the frequent pieces, until it has missed this many
 #: times its size: then the texts have changed, and it starts anew.
-CACHE_ENTRIES = 600_000
-OTHER_ENTRIES = 50_000
-STALE = 4
+CACHE_ENTRIES = 400_000
+OTHER_ENTRIES = 20_000
+STALE = 8
 LONGEST_CACHED = 48
 
 
+def byte_alphabet() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others, in order,
+    for the code points from 256 on."""
+    shown = {b for a, z in ((0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0xFF)) for b in range(a, z + 1)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)}
+
+
+ALPHABET = byte_alphabet()
+
+
 class Cache(dict):
     """Ids of pieces; a piece it lacks is encoded. Full, it keeps what it has, the frequent pieces."""
 
@@ -40,10 +61,10 @@ class Cache(dict):
             self[piece] = found
         return found
 
-    def shrink(self, before: int, missed: int) -> None:
+    def shrink(self, before: int) -> None:
         """Forget what came last, down to the bound; or everything, if the texts have changed."""
         if len(self) > self.entries:
-            self.missed += missed
+            self.missed += len(self) - before
             if self.missed > STALE * self.entries:
                 self.missed = 0
                 self.clear()
@@ -59,80 +80,54 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.plain = Cache(self._ids, CACHE_ENTRIES)  # pieces of the quick cut, none that it must not make
+        self.tokenize = self.tokenizer.model.tokenize
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        before, model = told.get("pre_tokenizer") or {}, told["model"]
+        self.added = [t["content"] for t in told.get("added_tokens", ())]
+        self.quick = (
+            before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not told.get("normalizer")
+            and model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+            and (told.get("post_processor") or {}).get("type") in (None, "ByteLevel") and not told.get("truncation")
+        )
+        self.plain = Cache(self._ids, CACHE_ENTRIES)  # pieces of the quick cut
         self.others = Cache(self._ids, OTHER_ENTRIES)
 
     def encode(self, text: str | None) -> bytes:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of many texts. Words that the cache lacks go through the library together."""
-        get, others = self.plain.get, self.others
-        sizes = len(self.plain), len(others)
-        out: list = []
-        open_: list[tuple[int, list, list, list]] = []
-        missing: set[str] = set()
-        for text in texts:
-            if not text:
-                out.append(b"")
-            elif OTHER_SPACE.search(text):
-                out.append(self._ids(text))
-            elif any(map(text.__contains__, CROWDED)):
-                out.append(b"".join(map(others.__getitem__, PIECE.findall(text))))
-            else:
-                pieces = text.replace(" ", "\0 ").replace(",", "\0,").replace(".", "\0.").replace("\n", "\0\n\0").split("\0")
-                found = list(map(get, pieces))
-                if None in found:
-                    new = [i for i, ids in enumerate(found) if ids is None]
-                    missing.update([pieces[i] for i in new])
-                    open_.append((len(out), pieces, found, new))
-                    out.append(None)
-                else:
-                    out.append(b"".join(found))
-        self._learn([p for p in missing if PLAIN.fullmatch(p)])
-        for at, pieces, found, new in open_:
-            for i in new:
-                found[i] = get(pieces[i]) or self._piece(pieces, found, i)
-            out[at] = b"".join(found)
-        self.plain.shrink(sizes[0], len(missing))
-        others.shrink(sizes[1], len(others) - sizes[1])
+        """The ids of many texts."""
+        sizes = len(self.plain), len(self.others)
+        out = [self._text(t) if t else b"" for t in texts]
+        self.plain.shrink(sizes[0])
+        self.others.shrink(sizes[1])
         return out
 
-    def _piece(self, pieces: list[str], found: list, i: int) -> bytes:
-        """The ids of one piece that the cache lacks. Where the quick cut must not be made after it, what
-        follows joins it."""
-        piece = pieces[i]
-        if piece[-1:].isalnum() or piece in ("", ",", ".", "\n"):
-            return self.plain[piece]
-        # It ends in another sign, and isn't kept among the plain ones: a point right after it may share its token.
-        while i + 1 < len(pieces) and pieces[i + 1][:1] in (",", "."):
-            i += 1
-            piece, pieces[i] = piece + pieces[i], ""
-            found[i] = b""
-            if piece[-1:].isalnum():
-                break
-        return self.others[piece]
-
-    def _learn(self, words: list[str]) -> None:
-        """Words that are a space and letters: each is one pre-token, so the library's word numbers over
-        their concatenation tell which ids are whose."""
-        for at in range(0, len(words), 512):
-            some = words[at : at + 512]
-            found = self.tokenizer.encode("".join(some), add_special_tokens=False)
-            numbers, ids = found.word_ids, array("I", found.ids)
-            ends = [i for i in range(1, len(ids)) if numbers[i] != numbers[i - 1]] + [len(ids)]
-            if len(ends) != len(some):
-                continue  # the library cuts otherwise here; these go one by one
-            start = 0
-            for word, end in zip(some, ends):
-                self.plain[word] = ids[start:end].tobytes()
-                start = end
-
-    def _ids(self, text: str) -> bytes:
+    def _text(self, text: str) -> bytes:
+        if not self.quick or OTHER_SPACE.search(text) or any(a in text for a in self.added):
+            return self._whole(text)
+        if any(map(text.__contains__, CROWDED)) or LOOSE_POINT.search(text):
+            return b"".join(map(self.others.__getitem__, PIECE.findall(text)))
+        pieces = text.replace(" ", "\0 ").replace(",", "\0,").replace(".", "\0.").replace("\n", "\0\n\0").split("\0")
+        return b"".join(map(self.plain.__getitem__, pieces))
+
+    def _ids(self, piece: str) -> bytes:
+        if piece.isascii() and piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()):  # most pieces
+            shown = "Ġ" + piece[1:] if piece[0] == " " else piece
+            return array("I", [t.id for t in self.tokenize(shown)]).tobytes()
+        if KNOWN.fullmatch(piece):
+            return b"".join(map(self._pre_token, PRE_TOKEN.findall(piece)))
+        return self._whole(piece) if piece else b""
+
+    def _pre_token(self, word: str) -> bytes:
+        shown = word.encode().decode("latin-1").translate(ALPHABET)
+        return array("I", [t.id for t in self.tokenize(shown)]).tobytes()
+
+    def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
-@lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
-    """One encoder for each tokenizer file and Python worker."""
-    return Encoder(path)
+    """The encoder of a tokenizer file, one for a Python worker."""
+    return worker_state(("bpe", path), lambda: Encoder(path))

@@ -67,6 +67,23 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+_state: dict = {}
+
+
+def worker_state(key, make):
+    """What a Python worker keeps between tasks (a tokenizer's cache, a model's words): one thing at a
+    time. Workers are reused, so an operator that asks for its own lets go of what another one kept."""
+    if key not in _state:
+        _state.clear()
+        _state[key] = make()
+    return _state[key]
+
+
+def no_worker_state() -> None:
+    """For operators that keep nothing: let go of what another one kept."""
+    _state.clear()
+
+
 def nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 

@@ -12,8 +12,9 @@ size, so sizes next to each other are alike; landing takes the rounding, and the
 documents, that come nearest to the source's tokens. Random numbers come from source, level and block, so reruns agree.
 
 Cases: null text has size 0; a null source is a source of its own, ordered last; documents of size
-0 take part in the document total; repeated rows are documents of their own; an empty table gives no
-row; other columns are ignored.
+0 take part in the document total; repeated rows are documents of their own; a very long text only counts, in one
+pass; an empty table gives no row; other columns are ignored, or kept by ``repeat_rows``, whatever their
+names (two leading underscores are its own).
 """
 
 from __future__ import annotations
@@ -127,22 +128,27 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, block: int = BLOCK, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken for each row of ``docs``."""
-    sizes = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), F.coalesce(F.regexp_count(text_col, F.lit(SPACE_WORD)), F.lit(0)).cast("long").alias("size")
-    )
-    sizes = materialize(sizes, "mix-sizes")
+    size = F.coalesce(F.regexp_count(text_col, F.lit(SPACE_WORD)), F.lit(0)).cast("long")
+    sizes = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), F.monotonically_increasing_id().alias("row"))
+    return mix_sizes(materialize(sizes, "mix-sizes"), weights, most, block, seed).drop("row")
+
+
+def mix_sizes(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, block: int = BLOCK, seed: int = SEED) -> DataFrame:
+    """The same from a written table (doc_id, source, size, row), where no two rows share a row number."""
     sources = materialize(targets(sizes, weights, most), "mix-sources")
     few = sources.count() <= BROADCAST_SOURCES
     table = sources.withColumnRenamed("source", "__source")
     rows = sizes.join(F.broadcast(table) if few else table, F.col("source").eqNullSafe(F.col("__source")))
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(F.lit(0.0))
     whole = F.floor(rate + TINY)
-    # A block's number comes from the row alone, so it doesn't depend on how rows are dealt out.
+    # A block's number comes from the document alone, so it doesn't depend on how rows are dealt out; only
+    # documents without an identifier, which are alike, go by their row.
+    key = F.coalesce("doc_id", "row")
     rows = rows.select(
-        "doc_id", "source", "size", "source_size", "target", whole.alias("whole"), F.greatest(rate - whole, F.lit(0.0)).alias("p"),
-        F.pmod(F.xxhash64("doc_id", "size", F.lit(seed)), F.ceil(F.col("n_docs") / block)).alias("block"), F.ceil(F.col("n_docs") / block).alias("blocks"),
+        "doc_id", "source", "size", "row", "source_size", "target", whole.alias("whole"), F.greatest(rate - whole, F.lit(0.0)).alias("p"),
+        F.pmod(F.xxhash64(key, "size", F.lit(seed)), F.ceil(F.col("n_docs") / block)).alias("block"), F.ceil(F.col("n_docs") / block).alias("blocks"),
     )
-    schema = "doc_id long, source string, size long, source_size long, target double, whole long, p double, block long, blocks long"
+    schema = "doc_id long, source string, size long, row long, source_size long, target double, whole long, p double, block long, blocks long"
 
     def fly(level: int):
         def run(group):
@@ -171,21 +177,21 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
         # Two rows at most from each block.
         level += 1
         fewer = F.ceil(F.col("blocks") * 2 / block)
-        rows = left.withColumn("block", F.pmod(F.xxhash64("doc_id", "size", F.lit(seed + level)), fewer)).withColumn("blocks", fewer)
+        rows = left.withColumn("block", F.pmod(F.xxhash64(key, "size", F.lit(seed + level)), fewer)).withColumn("blocks", fewer)
     copies = (F.col("whole") + F.col("p").cast("long")).cast("long")
-    return done.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return done.select("doc_id", "source", "size", "row", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def repeat_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
-    """``docs``, all columns, each row as often as the mix takes it (not at all, or up to ``most`` times)."""
-    taken = materialize(mix(docs, weights, most).select(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.col("copies").alias("__copies")), "mix-taken")
+    """``docs``, all columns, each row as often as the mix takes it (not at all, or up to ``most`` times).
+
+    Rows are numbered and written with their sizes; the copies come back to them by that number, so rows that
+    share an identifier, or have none, are told apart. Both sides are shuffled by it, whatever their size.
+    """
     names = docs.columns
-    same = F.col("doc_id").eqNullSafe(F.col("__id"))
-    if taken.groupBy("__id").count().where("count > 1").limit(1).count():  # rows of one identifier and size are alike, so they are numbered
-        docs = docs.withColumn("__words", F.coalesce(F.regexp_count("text", F.lit(SPACE_WORD)), F.lit(0)).cast("long"))
-        docs = docs.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id", "__words").orderBy("text")))
-        taken = taken.withColumn("__m", F.row_number().over(Window.partitionBy("__id", "__size").orderBy("__copies")))
-        same = same & (F.col("__words") == F.col("__size")) & (F.col("__n") == F.col("__m"))
-    # Both sides are shuffled by document at every size, so the plan doesn't change as the corpus grows.
-    joined = docs.join(taken.where("__copies > 0").hint("merge"), same)
+    size = F.coalesce(F.regexp_count("text", F.lit(SPACE_WORD)), F.lit(0)).cast("long")
+    rows = materialize(docs.withColumns({"__size": size, "__row": F.monotonically_increasing_id()}), "mix-rows")
+    sizes = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.col("__size").alias("size"), F.col("__row").alias("row"))
+    taken = mix_sizes(sizes, weights, most).where("copies > 0").select(F.col("row").alias("__row"), F.col("copies").alias("__copies"))
+    joined = rows.join(materialize(taken, "mix-taken").hint("merge"), "__row")
     return joined.select(*names, F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("__copy")).select(names)

@@ -15,7 +15,8 @@ Components of the links then give each document the smallest identifier it can r
 
 Cases: null and empty texts have fingerprint zero and link like any other; rows without identifier
 link too, and a component without any identifier has a null id; repeated rows each get their row;
-an empty table gives none; other columns are ignored.
+a very long text is one string and 8 bytes a word in its task; an empty table gives none; other columns are
+ignored, or kept by ``keep_representatives``, whatever their names (two leading underscores are its own).
 """
 
 from __future__ import annotations
@@ -25,8 +26,9 @@ from itertools import accumulate
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quire.llm.common import materialize
+from quire.llm.common import materialize, no_worker_state
 from quire.llm.graph import components
 
 SHINGLE = 3
@@ -64,6 +66,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
     def run(batches):
         import pyarrow as pa
 
+        no_worker_state()
         for batch in batches:
             found = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["doc_id", "fp"])
@@ -71,6 +74,21 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
+def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE, text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, with __fp."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        import pyarrow as pa
+
+        no_worker_state()
+        for batch in batches:
+            found = np.array([fingerprint(t, shingle) for t in batch.column(at).to_pylist()], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*batch.schema.names, "__fp"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__fp", T.LongType())]))
+
+
 def unite(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
     """Join the sets of i and j; a label is the least member's number."""
     while len(i):
@@ -188,30 +206,35 @@ def links(nodes: DataFrame, budget: int = BUDGET, hot: int = HOT_SHARD) -> DataF
     return placed.mapInArrow(run, "a long, b long")
 
 
+def placed(nodes: DataFrame, budget: int = BUDGET, hot: int = HOT_SHARD) -> DataFrame:
+    """(fp, first) for each fingerprint of ``nodes`` (fp, least): the smallest ``least`` of its component."""
+    reached = components(links(nodes, budget, hot)).withColumnRenamed("node", "fp")
+    linked = nodes.join(reached, "fp")
+    least = linked.groupBy("component").agg(F.min("least").alias("first"))
+    linked = linked.join(least, "component").select("fp", "first", F.lit(True).alias("linked"))
+    found = nodes.join(linked, "fp", "left").select("fp", F.when(F.col("linked"), F.col("first")).otherwise(F.col("least")).alias("first"))
+    return materialize(found, "simhash-classes")
+
+
 def classes(docs: DataFrame, budget: int = BUDGET, shingle: int = SHINGLE, hot: int = HOT_SHARD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id for each row of ``docs``."""
     prints = materialize(fingerprints(docs, shingle, id_col, text_col), "simhash")
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
-    reached = components(links(nodes, budget, hot)).withColumnRenamed("node", "fp")
-    linked = nodes.join(reached, "fp")
-    least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    linked = linked.join(least, "component").select("fp", "component_id", F.lit(True).alias("linked"))
-    placed = nodes.join(linked, "fp", "left").select("fp", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("least")).alias("component_id"))
-    placed = materialize(placed, "simhash-classes")
-    return prints.join(placed, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-BROADCAST_IDS = 2_000_000
-
-
-def keep_representatives(docs: DataFrame, budget: int = BUDGET, shingle: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs``, all columns, that are the smallest doc_id of their component; of repeated
-    rows of one doc_id one stays. Rows without doc_id have no name to go by and stay."""
-    found = materialize(classes(docs, budget, shingle).select("doc_id", "component_id"), "simhash-kept")
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    if gone.count() <= BROADCAST_IDS:  # 8 bytes each; beyond that both sides are shuffled
-        gone = F.broadcast(gone)
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    if found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
-    return kept
+    found = prints.join(placed(nodes, budget, hot), "fp")
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("first").alias("component_id"))
+
+
+def keep_representatives(docs: DataFrame, budget: int = BUDGET, shingle: int = SHINGLE, hot: int = HOT_SHARD) -> DataFrame:
+    """The rows of ``docs``, all columns: one of each component, that of the smallest doc_id (null last).
+
+    Rows are numbered and written with their fingerprints, so the choice is of rows: of rows with one
+    doc_id and near texts the first written stays, and rows with one doc_id and different texts are
+    documents of their own. What goes is told by row number, a key that no two rows share.
+    """
+    names = docs.columns
+    rows = materialize(with_fingerprints(docs, shingle).withColumn("__row", F.monotonically_increasing_id()), "simhash-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").cast("long").alias("doc_id"), F.col("__row").alias("row"))
+    nodes = materialize(rows.groupBy(F.col("__fp").alias("fp")).agg(F.min(order).alias("least")), "simhash-nodes")
+    stays = placed(nodes, budget, hot).select(F.col("first.row").alias("__row")).distinct()
+    gone = materialize(rows.select("__row").join(stays, "__row", "left_anti"), "simhash-gone")
+    return rows.join(gone, "__row", "left_anti").select(names)

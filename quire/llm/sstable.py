@@ -14,7 +14,8 @@ A shard holds the documents of one range of identifiers in ascending order:
 * Footer (fixed size): places of index and filter, counts, id width, CRC of index and filter, magic.
 
 Cases: null text counts as empty (the end id alone); null identifiers come last; repeated rows
-are kept, ordered by text; an empty table gives no shard and no row; other columns are ignored.
+are kept, ordered by text; a very long text is one value, held in memory with its ids; an empty table gives no
+shard and no row; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -58,18 +58,26 @@ def test_against_all_windows(spark, seed, block_bytes):
     d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     b = spark.createDataFrame(items, "item_id long, text string")
     assert rows(decontam.scan(d, b, block_bytes=block_bytes)) == brute(docs, items)
-    kept = sorted(str((r.doc_id, r.text)) for r in decontam.remove_contaminated(d, b, block_bytes=block_bytes).collect())
-    flags = {(i, n, h): c for i, n, h, _, _, c in brute(docs, items)}
-    expected = sorted(str((i, t)) for (i, t) in docs if not brute([(i, t)], items)[0][5])
-    assert kept == expected and flags
+    kept = lambda share: sorted(str((r.doc_id, r.text)) for r in decontam.remove_contaminated(d, b, least_share=share, block_bytes=block_bytes).collect())
+    flags = [(i, t, *brute([(i, t)], items)[0][2:6:3]) for i, t in docs]
+    assert kept(0.05) == sorted(str((i, t)) for i, t, _, many in flags if not many)
+    assert kept(0.0) == sorted(str((i, t)) for i, t, n_hit, _ in flags if not n_hit)
 
 
-def test_small_shards(spark, monkeypatch):
+def test_one_passage_in_a_long_text_is_enough(spark):
+    item = " ".join(f"w{i}" for i in range(13))
+    docs = spark.createDataFrame([(1, "x " * 5000 + item + " y" * 5000), (2, "x " * 10_000)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert [r.doc_id for r in decontam.remove_contaminated(docs, items).collect()] == [2]
+    assert not decontam.scan(docs, items).where("contaminated").count()
+
+
+def test_small_shards(monkeypatch):
     docs, items = made(5)
-    monkeypatch.setattr(decontam, "SHARD_WORDS", 50)
+    monkeypatch.setattr(decontam._shards, "__defaults__", (200,))
     bench = decontam.Benchmark(items)
-    found = list(decontam._hits([t for _, t in docs], bench))
-    assert [(n, int(h.sum())) for n, h, _ in found] == [brute([d], items)[0][1:3] for d in docs]
+    found = list(decontam._hits([t for _, t in docs], lambda: [bench]))
+    assert [(n, h) for n, h, _ in found] == [brute([d], items)[0][1:3] for d in docs]
 
 
 @pytest.mark.parametrize("block_bytes", [1 << 20, 150])

@@ -20,7 +20,7 @@ def folder(tmp_path_factory):
     passage = "one benchmark passage that nobody else would write down in quite this very order of words at all"
     docs = [(i, t, "en", f"src{i % 3}", len(t)) for i, t in rows]
     docs += [(1000 + i, docs[i][1], "en", "src0", 1) for i in range(1, 30, 2)]
-    docs += [(2000, passage, "en", "src1", 1), (2001, docs[1][1][:60] + " " + passage, "en", "src1", 1), (2002, None, "en", "src1", None), (2003, "", None, None, 0), (2004, "  ", "en", "src2", 0)]
+    docs += [(2000, passage, "en", "src1", 1), (2001, docs[1][1][:60] + " " + passage, "en", "src1", 1), (2002, None, "en", "src1", None), (2003, "", None, None, 0), (2004, "  ", "en", "src2", 0), (2005, docs[2][1] * 30 + passage, "en", "src2", 0)]
     path = tmp_path_factory.mktemp("sf")
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64())])
     pq.write_table(pa.Table.from_pylist([dict(zip(schema.names, d)) for d in docs], schema), path / "documents.parquet")
@@ -59,7 +59,7 @@ def test_stages(spark, folder):
                 x, y = find(a), find(b)
                 label[max(x, y)] = min(x, y)
     assert ids[2] == {i for i in order if find(i) == i}
-    flags = {r[0]: r[5] for r in brute_hits([(i, texts[i]) for i in ids[2]], [(1, passage)])}
+    flags = {r[0]: r[2] > 0 for r in brute_hits([(i, texts[i]) for i in ids[2]], [(1, passage)])}
     assert ids[3] == {i for i in ids[2] if not flags[i]} and flags[2000] and ids[2] - ids[3] == {i for i in flags if flags[i]}
     # The mix takes each source near its target, no document more than three times.
     counts: dict = {}
@@ -87,6 +87,32 @@ def test_empty_table(spark, folder, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_rows_that_share_an_identifier_or_have_none(spark, folder, tmp_path):
+    """Null and repeated doc_ids, a very long text, nulls in every column, names that operators use inside."""
+    path, _, _, passage = folder
+    for name in ("labels", "benchmark"):
+        pq.write_table(pq.read_table(f"{path}/{name}.parquet"), tmp_path / f"{name}.parquet")
+    own = lambda k, n=40: " ".join(f"u{k}w{i}" for i in range(n))
+    rows = [(3, own(1)), (5, own(1)), (5, own(2)), (5, own(2)), (9, own(3)), (None, own(4)), (None, own(5)), (None, own(5)), (11, own(6, 200_000)), (12, None), (13, ""), (14, own(7) + passage), (None, passage), (15, own(8))]
+    docs = [(i, t, None if i == 15 else "en", None if i == 15 else "a", None, "x", 1, 2.5, "y", 7) for i, t in rows]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, fp string, row int, size double, copies string, block long"
+    frame = spark.createDataFrame(docs, schema).coalesce(1)
+    seen = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        frame = corpus_pipeline.materialize(stage(spark, frame, str(tmp_path)), name)
+        assert frame.schema.simpleString() == spark.createDataFrame([], schema).schema.simpleString()
+        seen.append(sorted(str((r.doc_id, r.text)) for r in frame.collect()))
+    told = lambda *kept: sorted(str(k) for k in kept)
+    assert seen[0] == told(*rows)
+    single = [(3, own(1)), (5, own(2)), (9, own(3)), (None, own(4)), (None, own(5)), (11, own(6, 200_000)), (12, None), (14, own(7) + passage), (None, passage), (15, own(8))]
+    assert seen[1] == told(*single)
+    clean = [r for r in single if passage not in (r[1] or "")]
+    assert seen[2] == told(*clean)
+    assert set(seen[3]) <= set(seen[2]) and max(seen[3].count(r) for r in seen[3]) <= 3
+    shards = corpus_pipeline.STAGES[-1][1](spark, frame, str(tmp_path)).collect()
+    assert sorted(str(r.doc_id) for r in shards) == sorted(str(r.doc_id) for r in frame.collect())
+
+
 def test_registry():
     assert [f"op{n}" for n in range(1, 11)] == [name.split("_")[0] for name in queries()]
     assert "quire.llm" in sys.modules and len(corpus_pipeline.STAGES) == 5

@@ -80,3 +80,12 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns
     assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 1, 2, 6, 8, 9]
     assert simhash.classes(no_docs).count() == 0 and simhash.keep_representatives(no_docs).count() == 0
+
+
+def test_representatives_are_rows(spark):
+    a, b, c = "one text of a few words here", "quite another text with other words", "a third that stands alone in this set"
+    kept = lambda rows: sorted(str((r.doc_id, r.text)) for r in simhash.keep_representatives(spark.createDataFrame(rows, "doc_id long, text string, __x string")).collect())
+    told = lambda *rows: sorted(str(r) for r in rows)
+    assert kept([(3, a, ""), (5, a, ""), (5, b, ""), (9, c, "")]) == told((3, a), (5, b), (9, c))
+    assert kept([(5, a, ""), (5, b, "")]) == told((5, a), (5, b))
+    assert kept([(5, a, ""), (5, a, ""), (None, a, ""), (None, b, ""), (None, b, "")]) == told((5, a), (None, b))

@@ -1,4 +1,6 @@
+import math
 import random
+import re
 import zlib
 
 import pytest
@@ -70,3 +72,44 @@ def test_odd_rows(spark, odd_docs, no_docs, trained):
     assert toxicity.remove_toxic(odd_docs, model).columns == odd_docs.columns
     none = toxicity.train(toxicity.sample(odd_docs, spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")))
     assert toxicity.score(odd_docs, none).where("score > 0").count() == 0
+
+
+def brute_score(text, model):
+    """The noisy-or written out: no sums of logarithms, no cache of words."""
+    fold = lambda s: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in s)
+    bags = [w for s in re.split(r"[.!?\n]+", text or "") if (w := re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", fold(s)))]
+    if not bags:
+        return model.empty
+    none = 1.0
+    for words in bags:
+        z = model.bias - math.log(len(bags))
+        for w in words:
+            z += sum(model.weights.get(f.encode(), 0.0) for f in [w, *("^" + w[:n] for n in range(3, 7) if n < len(w))])
+        none *= 1 - 1 / (1 + math.exp(-z))
+    return 1 - none
+
+
+def test_scores_against_brute_force(trained):
+    docs, _, model = trained
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert model.weights
+    for r in toxicity.score(docs, model).collect():
+        assert r.score == pytest.approx(brute_score(texts[r.doc_id], model), abs=1e-9)
+
+
+def test_training_climbs_the_likelihood_that_scoring_uses():
+    rows, labels = corpus(200)
+    rows = [(t, y) for (_, t), (_, y) in zip(rows, labels)]
+
+    def loss(model):
+        return -sum(math.log(max(1e-12, s if y else 1 - s)) for t, y in rows for s in [brute_score(t, model)])
+
+    assert loss(toxicity.train(rows, steps=60)) < 0.5 * loss(toxicity.train(rows, steps=5)) < loss(toxicity.train(rows, steps=0))
+
+
+def test_sample_is_bounded_in_bytes(spark):
+    docs = spark.createDataFrame([(i, "x" * 1000) for i in range(100)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, toxic int")
+    whole = toxicity.sample(docs, marks)
+    assert toxicity.sample(docs, marks, total_bytes=10_500) == whole[:10]
+    assert toxicity.sample(docs, marks, sample_bytes=999) == []

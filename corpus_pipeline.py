@@ -2,6 +2,11 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all rows of ``docs``. Stages before the last
 return the columns of ``documents``; what a stage removes is gone for those after it.
+
+Cases, for every stage: null columns and texts count as empty; rows without doc_id, or that share
+one, are rows of their own, told apart by a row number; a text of any length is worked on whole; repeated
+rows are near copies of each other, so one stays; an empty table goes through as one; other columns
+are kept up to the last stage.
 """
 
 from __future__ import annotations
@@ -20,12 +25,14 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: one document of each SimHash component stays, the smallest doc_id."""
+    """Operator 3: one document of each SimHash component stays, the smallest doc_id (null last; of rows
+    that share it the first written)."""
     return simhash.keep_representatives(docs)
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: documents with a twentieth of their words or more from benchmark items go."""
+    """Operator 8: documents that share a longest match of 13 words or more (or a whole shorter item) with a
+    benchmark item go, however long they are."""
     return decontam.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 

@@ -4,19 +4,20 @@ Vectors are cut into pairs of components, each pair coded by one of 16 centres (
 and codes minimise a loss that weighs the part of a residual parallel to its vector more than the
 part across it, since only the parallel part changes the inner products that matter for the top of
 a ranking. A query becomes a table of its inner products with all centres; scanning adds table
-entries by code (two codes, a byte, at a time). The best ``rerank`` rows of each batch by the scanned
-score, inner product minus half the squared length, go to exact reranking in double precision.
+entries by code (two codes, a byte, at a time) to the scanned score, inner product minus half the squared
+length. Over all rows together, those with one of the ``rerank`` best scores of a query go to exact reranking in
+double precision; how rows are dealt out to tasks and batches has no part in that.
 
 The centres are fitted on the driver to a sample of ``sample`` vectors at most, chosen by a hash of
 the identifier; every vector is indexed. The queries are taken in blocks of ``query_block``, the only
-data that is broadcast (some 2 MB at 64 components); each block scans the whole index once, and a task
-returns its k best for each query, so the shuffle holds k rows for each query and task.
+data that is broadcast (some 2 MB at 64 components); each block scans the whole index once. A task returns
+what its own ``rerank`` best scores have, with the exact distance, so the shuffle holds some ``rerank`` rows
+for each query and task. Recall is measured in tests; ``rerank`` of the number of vectors or more is exact.
 
 Cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do rows
 without identifier or whose length isn't the commonest (of equals, the shorter). Equal distances go
-to the smaller identifier; equal vectors are scanned as one, and all
-vectors that tie with the last of ``rerank`` are reranked too. A repeated
-identifier counts once, with its least vector. Other columns are ignored.
+to the smaller identifier; equal vectors have one score and count once, by their k + 1 smallest identifiers. A
+repeated identifier counts once, with its least vector; an empty table gives no row. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,13 +28,13 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialize
+from quire.llm.common import materialize, no_worker_state
 
 SAMPLE = 8_192
 CENTRES = 16
 PARALLEL_THRESHOLD = 0.2
 ROUNDS = 8
-RERANK = 400
+RERANK = 512
 QUERY_BLOCK = 4_096
 QUERIES_AT_ONCE = 64
 K = 10
@@ -136,9 +137,10 @@ def search(vectors: DataFrame, is_query, k: int = K, rerank: int = RERANK, sampl
         rows = rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
     share = min(1 << 20, -(-(sample << 20) // n))
     picked = rows.where(F.size("vector") == dim).where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < share).limit(2 * sample).toArrow()
-    _, _, fitted = _usable(picked.column(0).combine_chunks(), picked.column(1).combine_chunks(), dim)
+    _, names, fitted = _usable(picked.column(0).combine_chunks(), picked.column(1).combine_chunks(), dim)
     if not len(fitted):
         return spark.createDataFrame([], empty)
+    fitted = fitted[np.argsort(names, kind="stable")]  # reruns fit the same centres
     book = spark.sparkContext.broadcast(fit(fitted))  # 16 centres a pair
 
     def encode(batches):
@@ -160,10 +162,12 @@ def search(vectors: DataFrame, is_query, k: int = K, rerank: int = RERANK, sampl
         block = wanted.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).toArrow()
         _, ids, queries = _usable(block.column(0).combine_chunks(), block.column(1).combine_chunks(), dim)
         shared = spark.sparkContext.broadcast((ids, queries))
-        part = index.mapInArrow(_scanner(book, shared, dim, k, rerank), "query_id long, vec_id long, score double")
+        part = index.mapInArrow(_scanner(book, shared, dim, k, rerank), "query_id long, scanned float, vec_id long, score double")
         found = part if found is None else found.unionByName(part)
     if found is None:
         return spark.createDataFrame([], empty)
+    best = F.dense_rank().over(Window.partitionBy("query_id").orderBy(F.col("scanned").desc()))
+    found = found.withColumn("best", best).where(F.col("best") <= rerank)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
 
@@ -176,53 +180,70 @@ def _tables(centres: np.ndarray, queries: np.ndarray) -> np.ndarray:
     return (one[:, 1::2, :, None] + one[:, 0::2, None, :]).reshape(len(queries), -1, 256).astype(np.float32)
 
 
+def _best(scanned: np.ndarray, exact: np.ndarray, ids: np.ndarray, rerank: int, k: int) -> np.ndarray:
+    """Which rows of one query have one of the ``rerank`` best scanned scores, with at most k + 1 rows, those of
+    the smallest identifiers, for equal vectors."""
+    order = np.lexsort((ids, exact, -scanned))
+    s, e = scanned[order], exact[order]
+    new = np.r_[True, s[1:] != s[:-1]]
+    alike = np.r_[True, (s[1:] == s[:-1]) & (e[1:] == e[:-1])]
+    alike[0] = False
+    start = np.maximum.accumulate(np.where(alike, 0, np.arange(len(s))))
+    return order[(np.cumsum(new) <= rerank) & (np.arange(len(s)) - start <= k)]
+
+
 def _scanner(book, shared, dim: int, k: int, rerank: int):
     def scan(batches):
         import pyarrow as pa
 
+        no_worker_state()
         query_ids, queries = shared.value
-        best: list = [(np.zeros(0, np.int64), np.zeros(0))] * len(query_ids)
+        none = np.zeros(0, np.float32), np.zeros(0), np.zeros(0, np.int64)
+        best: list = [none] * len(query_ids)
         for batch in batches:
             if not batch.num_rows:
                 continue
             _, ids, vectors = _usable(batch.column(0), batch.column(1), dim)
             vectors = np.ascontiguousarray(vectors)
             codes = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1)
-            # Equal vectors are scanned as one, so copies don't crowd out others; the k + 1 smallest
-            # identifiers of each stand for it (one may be the query's own). Smaller identifiers come first.
+            # Equal vectors are scanned as one; the k + 1 smallest identifiers of each stand for it (one may be
+            # the query's own).
             _, first, group = np.unique(vectors.view(np.dtype((np.void, vectors.shape[1] * 8))).ravel(), return_index=True, return_inverse=True)
             members = np.lexsort((ids, group))
             counts = np.bincount(group)
             begins = np.cumsum(counts) - counts
-            order = np.argsort(ids[members[begins]], kind="stable")
-            own, begins, counts = ids[members], begins[order], np.minimum(counts[order], k + 1)
-            first = first[order]
+            own, counts = ids[members], np.minimum(counts, k + 1)
             vectors, codes = vectors[first], codes[first]
             half = ((vectors**2).sum(1) / 2).astype(np.float32)
+            n = len(vectors)
             for at in range(0, len(query_ids), QUERIES_AT_ONCE):
-                some = slice(at, at + QUERIES_AT_ONCE)
-                tables = _tables(book.value.centres, queries[some])
+                tables = _tables(book.value.centres, queries[at : at + QUERIES_AT_ONCE])
                 scores = np.tile(-half, (tables.shape[0], 1))
                 for m in range(tables.shape[1]):
                     scores += tables[:, m].take(codes[:, m], axis=1)
-                n = len(vectors)
-                keep = min(rerank, n)
+                keep = min(rerank + 1, n)  # one may be the query itself
                 least = np.partition(scores, n - keep, axis=1)[:, n - keep]
                 for q in range(tables.shape[0]):
-                    near = np.flatnonzero(scores[q] >= least[q])  # all of a tie: codes can't tell dense vectors apart
+                    old = best[at + q]
+                    near = np.flatnonzero(scores[q] >= least[q])
+                    while len(near) < n and len(np.unique(scores[q][near])) <= rerank:  # ties: go on to different scores
+                        near = np.flatnonzero(scores[q] >= np.partition(scores[q], n - min(n, 2 * len(near)))[n - min(n, 2 * len(near))])
+                    if np.count_nonzero(np.diff(old[0])) + 1 >= rerank:  # as many held already; old[0] falls
+                        near = near[scores[q][near] >= old[0][-1]]
                     distance = np.sqrt(((vectors[near] - queries[at + q]) ** 2).sum(1))
                     n_ids = counts[near]
                     slots = np.arange(n_ids.sum()) - np.repeat(np.cumsum(n_ids) - n_ids, n_ids) + np.repeat(begins[near], n_ids)
-                    near_ids, distance = own[slots], np.repeat(distance, n_ids)
-                    other = near_ids != query_ids[at + q]
-                    old_ids, old = best[at + q]
-                    all_ids, all_ = np.concatenate([old_ids, near_ids[other]]), np.concatenate([old, distance[other]])
-                    top = np.lexsort((all_ids, all_))[:k]
-                    best[at + q] = all_ids[top], all_[top]
-        counts = [len(i) for i, _ in best]
-        if sum(counts):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(query_ids, counts).astype(np.int64)), pa.array(np.concatenate([i for i, _ in best])), pa.array(np.concatenate([d for _, d in best]))], ["query_id", "vec_id", "score"]
-            )
+                    new = np.repeat(scores[q][near], n_ids), np.repeat(distance, n_ids), own[slots]
+                    other = new[2] != query_ids[at + q]
+                    all_ = [np.concatenate([a, b[other]]) for a, b in zip(old, new)]
+                    if len(all_[0]):
+                        kept = _best(*all_, rerank, k)
+                        best[at + q] = tuple(x[kept] for x in all_)
+        counts = [len(i) for _, _, i in best]
+        for at in range(0, len(query_ids), QUERIES_AT_ONCE):
+            some = slice(at, at + QUERIES_AT_ONCE)
+            if sum(counts[some]):
+                columns = [np.repeat(query_ids[some], counts[some]).astype(np.int64), *(np.concatenate(x) for x in zip(*((s, i, e) for s, e, i in best[some])))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "scanned", "vec_id", "score"])
 
     return scan

@@ -36,7 +36,7 @@ def test_recall(spark, kind):
         x[::3] = x[0]
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     frame = spark.createDataFrame(rows, SCHEMA).repartition(4)
-    got, want = found(ann.search(frame, hundredth, query_block=7)), brute(rows)
+    got, want = found(ann.search(frame, hundredth, query_block=7, rerank=150)), brute(rows)  # a twentieth is reranked
     assert got.keys() == want.keys() and all(len(g) == 10 for g in got.values())
     hits = sum(len({v for _, v in got[q]} & {v for _, v in want[q]}) for q in want)
     assert hits / sum(map(len, want.values())) >= 0.97
@@ -45,6 +45,13 @@ def test_recall(spark, kind):
         assert got[q] == sorted(got[q]) and all(s == pytest.approx(near[v], abs=1e-12) for s, v in got[q])
 
 
+def test_dealing_out_has_no_part(spark):
+    rng = np.random.default_rng(8)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1200, 16)))], SCHEMA)
+    one, many = (found(ann.search(frame.repartition(n), hundredth, rerank=15)) for n in (1, 7))
+    assert one == many and one != brute([(r.vec_id, r.embedding) for r in frame.collect()])
+
+
 def test_anisotropic_loss_favours_parallel_residuals():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(4000, 32))

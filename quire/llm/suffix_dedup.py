@@ -2,19 +2,20 @@
 
 1. Anchors. Every window of 100 bytes has one anchor, the 24-byte string in it of the least hash (the
    leftmost of equals). It depends on the window's content alone, so equal windows have equal anchors.
-   Consecutive windows with one anchor form a run: some 130 bytes of text, one record of hashes and
-   place. Runs with an anchor seen once can't repeat and end here.
-2. Equal runs (same anchor and text hash, 128 bits together) repeat as a whole: all but the first are
-   marked. Equal runs of one buffer are settled before the shuffle, so a text in millions of documents
-   sends a record a buffer, not a document.
-3. Of anchors that stand in several different runs, the first occurrence of each run is fetched and
-   these texts, some megabytes at a time, are made into a suffix array by two-stage sorting: suffixes
-   smaller than their successors are sorted directly (to window depth), all others are induced by one
-   scan of the buckets. Neighbours with a common prefix of 100 bytes are equal windows; all but the
-   earliest are marked. An anchor with more text than ``hot_bytes`` is dealt out by window instead.
+   Consecutive windows with one anchor form a run: some 130 bytes of text, one record of hashes and place.
+2. Equal runs (same anchor hash and same XXH3 of their bytes, two independent 64-bit hashes) repeat as a
+   whole: all but the first are marked. Equal runs of one buffer are settled before the shuffle, so a text in
+   millions of documents sends a record a buffer, not a document. Records are dealt out by both hashes, so
+   an anchor that stands in very many contexts isn't one task's.
+3. Anchors left with one run can't repeat and end here. Of those that stand in several different runs, the first
+   occurrence of each run is fetched and these texts, some megabytes at a time, are made into a suffix array by
+   two-stage sorting: suffixes smaller than their successors are sorted directly (to window depth), all others
+   are induced by one scan of the buckets. Neighbours with a common prefix of 100 bytes are equal windows; all
+   but the earliest are marked. The runs of an anchor with more text than ``hot_bytes`` are cut first into runs of
+   a longer anchor (60, then 92 bytes), and sorted by these; what is still as large goes by whole windows.
 4. Marks are united by document and the kept bytes hashed.
 
-Texts are shuffled twice (3 and 4), by document; anchor records once.
+Texts are shuffled twice (3 and 4), by document.
 
 Cases: null text is empty: no bytes, no spans; documents are ordered by doc_id, null last, and rows
 with one doc_id by a hash of their text; repeated rows are one document, each row gets its result;
@@ -30,14 +31,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialize
+from quire.llm.common import materialize, no_worker_state
 
 WINDOW = 100
 GRAM = 24
 BUFFER = 1 << 22
 PLACE_BITS = 23
 ARRAY_BYTES = 1 << 21
-HOT_BYTES = 64 << 20
+HOT_BYTES = 2 << 20
+LONGER_GRAMS = (60, 92)
 SEPARATOR = 0xFF  # in no UTF-8 text
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -76,6 +78,8 @@ def mix(x: np.ndarray, salt: int) -> np.ndarray:
 def runs(data: np.ndarray, first: np.ndarray, last: np.ndarray, window: int = WINDOW, gram: int = GRAM):
     """Runs of windows with one anchor in a buffer whose documents start at ``first`` and end at ``last``:
     (start, number of windows, anchor hash, text hash)."""
+    from xxhash import xxh3_64_intdigest
+
     n, p = len(data), powers()
     long_ = last - first >= window
     first, last = first[long_], last[long_]
@@ -102,7 +106,8 @@ def runs(data: np.ndarray, first: np.ndarray, last: np.ndarray, window: int = WI
     start = np.flatnonzero(begins & valid)
     stop = np.minimum(np.r_[start[1:], n], (last - window + 1)[np.searchsorted(first, start, side="right") - 1])
     end = stop + window - 1
-    text = mix((prefix[end] - prefix[start]) * p.inverse[start], 0xA7)
+    raw = memoryview(data)
+    text = np.fromiter([xxh3_64_intdigest(raw[a:b]) for a, b in zip(start.tolist(), end.tolist())], dtype=U, count=len(start))
     return start, stop - start, g[anchor[start]], text
 
 
@@ -267,47 +272,63 @@ def _anchors(docs: DataFrame, window: int) -> DataFrame:
 
 
 def _groups(records: DataFrame, window: int) -> DataFrame:
-    """Marks (h null: doc_id, start, end) and runs to compare (h, doc_id, start, end)."""
+    """Marks (h null: doc_id, start, end) and the first occurrence of each run (h, doc_id, start, end)."""
 
     def run(batches):
         import pyarrow as pa
 
-        def settle(h, t, doc, at):
+        def settle(h, t, doc, at, passed):
             start, end = at >> 7, (at >> 7) + (at & 127) + window - 1
-            new_h = np.r_[True, h[1:] != h[:-1]]
-            new_t = new_h | np.r_[True, t[1:] != t[:-1]]
-            kinds = np.add.reduceat(new_t.astype(np.int64), np.flatnonzero(new_h))
-            wanted = new_t & (kinds[np.cumsum(new_h) - 1] > 1)
-            md, ms, me = merged(doc[~new_t], start[~new_t], end[~new_t])
-            none = np.r_[np.ones(len(md), bool), np.zeros(wanted.sum(), bool)]
-            columns = [pa.array(np.r_[np.zeros(len(md), np.int64), h[wanted]], mask=none), *(pa.array(np.r_[a, b[wanted]]) for a, b in ((md, doc), (ms, start), (me, end)))]
+            first = np.r_[True, (h[1:] != h[:-1]) | (t[1:] != t[:-1])] if len(h) else np.zeros(0, bool)
+            if last is not None and len(h):
+                first[0] = (h[0], t[0]) != last
+            md, ms, me = merged(*(np.r_[a, b] for a, b in zip((doc[~first], start[~first], end[~first]), passed)))
+            none = np.r_[np.ones(len(md), bool), np.zeros(first.sum(), bool)]
+            columns = [pa.array(np.r_[np.zeros(len(md), np.int64), h[first]], mask=none), *(pa.array(np.r_[a, b[first]]) for a, b in ((md, doc), (ms, start), (me, end)))]
             return pa.RecordBatch.from_arrays(columns, ["h", "doc_id", "start", "end"])
 
-        held = [np.zeros(0, np.int64)] * 4
+        last = None
+        no_worker_state()
         for batch in batches:
-            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            passed = batch.filter(batch.column(1).is_null())
-            if passed.num_rows:
-                empty = pa.nulls(passed.num_rows, pa.int64())
-                yield pa.RecordBatch.from_arrays([empty, passed.column(2), passed.column(3), passed.column(0)], ["h", "doc_id", "start", "end"])
-            if batch.column(1).null_count:
-                batch = batch.filter(batch.column(1).is_valid())
-                columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            if not batch.num_rows:
-                continue
-            held = [np.concatenate([a, b]) for a, b in zip(held, columns)]
-            cut = int(np.searchsorted(held[0], held[0][-1]))  # the last anchor may go on
-            if cut:
-                yield settle(*(c[:cut] for c in held))
-                held = [c[cut:] for c in held]
-        if len(held[0]):
-            yield settle(*held)
-
-    # Marks are dealt out by document, records by anchor.
-    dealt = records.repartition(F.coalesce(F.when(F.col("t").isNotNull(), F.col("h")), F.xxhash64("doc_id")))
+            marks = batch.filter(batch.column(1).is_null())
+            batch = batch.filter(batch.column(1).is_valid())
+            passed = [marks.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 0)]
+            h, t, doc, at = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            yield settle(h, t, doc, at, passed)
+            if len(h):
+                last = (h[-1], t[-1])
+
+    # Marks are dealt out by document, records by run.
+    dealt = records.repartition(F.when(F.col("t").isNotNull(), F.xxhash64("h", "t")).otherwise(F.xxhash64("doc_id")))
     return dealt.sortWithinPartitions("h", "t", "doc_id", "at").mapInArrow(run, "h long, doc_id long, start long, end long")
 
 
+def _split(pieces: DataFrame, gram: int, window: int) -> DataFrame:
+    """The same windows in runs of a longer anchor: (h, doc_id, start, piece); h tells both anchors."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            h, doc, place = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            raw = batch.column(3).to_pylist()
+            for a in range(0, len(raw), 1024):
+                some = raw[a : a + 1024]
+                data = np.frombuffer(b"".join(x for r in some for x in (r, b"\xff")), dtype=np.uint8)
+                sizes = np.array([len(r) for r in some], dtype=np.int64)
+                first = np.cumsum(sizes + 1) - (sizes + 1)
+                start, count, g, _ = runs(data, first, first + sizes, window, gram)
+                own = np.searchsorted(first, start, side="right") - 1
+                told = mix(g ^ h[a + own].view(U), gram).view(np.int64)
+                cut = [some[i][s : s + n] for i, s, n in zip(own.tolist(), (start - first[own]).tolist(), (count + window - 1).tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(told), pa.array(doc[a + own]), pa.array(place[a + own] + start - first[own]), pa.array(cut, pa.binary())], ["h", "doc_id", "start", "piece"])
+
+    return pieces.mapInArrow(run, PIECES)
+
+
+PIECES = "h long, doc_id long, start long, piece binary"
+
+
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(h, doc_id, start, piece) of the runs to compare."""
     by_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("h", "start", "end")).alias("runs"))
@@ -326,7 +347,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                             column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["h", "doc_id", "start", "piece"])
 
-    return docs.join(by_doc, "doc_id").select("doc_id", "text", "runs").mapInArrow(run, "h long, doc_id long, start long, piece binary")
+    return docs.join(by_doc, "doc_id").select("doc_id", "text", "runs").mapInArrow(run, PIECES)
 
 
 def _compare(pieces: DataFrame, window: int) -> DataFrame:
@@ -406,15 +427,31 @@ def dedup(docs: DataFrame, window: int = WINDOW, hot_bytes: int = HOT_BYTES, id_
         docs = docs.withColumn("doc_id", F.col("name"))
         unique = docs
     found = materialize(_groups(_anchors(unique.select("doc_id", "text"), window), window), "suffix-groups")
-    wanted = found.where("h is not null")
-    sizes = wanted.groupBy("h").agg(F.sum(F.col("end") - F.col("start")).alias("size")).where(F.col("size") > hot_bytes)
-    hot = [r.h for r in sizes.select("h").collect()]  # at most one for each hot_bytes of the corpus
-    pieces = _texts(unique.select("doc_id", "text"), wanted)
-    marks = found.where("h is null").select("doc_id", "start", "end")
-    if hot:
+    firsts = found.where("h is not null")
+    # Joins below have one row a key on the right, from a written table, so a hot anchor's side may be split.
+    per = firsts.groupBy("h").agg(F.count("*").alias("n"), F.sum(F.col("end") - F.col("start")).alias("bytes"))
+    per = materialize(per.where("n > 1"), "suffix-anchors")
+    pieces = _texts(unique.select("doc_id", "text"), firsts.join(per.select("h"), "h"))
+    marks = [found.where("h is null").select("doc_id", "start", "end")]
+    hot = per.where(F.col("bytes") > hot_bytes).select("h")
+    for gram in (*LONGER_GRAMS, None):
+        if hot.limit(1).count() == 0:
+            marks.append(_compare(pieces, window))
+            break
         pieces = materialize(pieces, "suffix-pieces")
-        few = F.broadcast(docs.sparkSession.createDataFrame([(h,) for h in hot], "h long"))
-        compared = _compare(pieces.join(few, "h", "left_anti"), window).unionByName(_compare_windows(pieces.join(few, "h", "left_semi"), window))
-    else:
-        compared = _compare(pieces, window)
-    return _finish(docs, marks.unionByName(materialize(compared, "suffix-marks")))
+        marks.append(_compare(pieces.join(hot, "h", "left_anti"), window))
+        pieces = pieces.join(hot.withColumn("hot", F.lit(True)), "h").drop("hot")
+        if gram is None:
+            marks.append(_compare_windows(pieces, window))
+            break
+        # Equal runs of the longer anchor: the first stands for all, the others are marked.
+        cut = materialize(_split(pieces, gram, window), "suffix-cut")
+        first = materialize(cut.groupBy("h", "piece").agg(F.min(F.struct("doc_id", "start")).alias("first")), "suffix-first")
+        later = cut.join(first, ["h", "piece"]).where(F.struct("doc_id", "start") > F.col("first"))
+        marks.append(later.select("doc_id", "start", (F.col("start") + F.length("piece")).alias("end")))
+        pieces = first.select("h", "first.doc_id", "first.start", "piece")
+        hot = materialize(pieces.groupBy("h").agg(F.sum(F.length("piece")).alias("bytes")).where(F.col("bytes") > hot_bytes).select("h"), "suffix-hot")
+    told = marks[0]
+    for more in marks[1:]:
+        told = told.unionByName(materialize(more, "suffix-marks"))
+    return _finish(docs, told)

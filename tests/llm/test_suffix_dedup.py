@@ -42,7 +42,7 @@ def got(frame):
     return {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in frame.collect()}
 
 
-@pytest.mark.parametrize("seed,hot", [(1, 1 << 30), (2, 1 << 30), (3, 300)])
+@pytest.mark.parametrize("seed,hot", [(1, 1 << 30), (2, 3000), (3, 300)])
 def test_against_all_windows(spark, seed, hot):
     rows = corpus(seed)
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
@@ -89,3 +89,13 @@ def test_odd_rows(odd_docs, no_docs):
     assert (by[2].n_bytes, by[2].n_removed, by[2].n_spans) == (0, 0, 0)
     assert by[2].kept_sha256 == hashlib.sha256(b"").hexdigest()
     assert (by[6].n_bytes, by[6].n_removed, by[6].n_spans) == (150_000, 149_995, 1)
+
+
+def test_a_line_in_very_many_contexts(spark):
+    """One line in every document: its anchors are hot at every level, down to whole windows."""
+    rng = random.Random(4)
+    line = "this line of some eighty characters stands in every single document of the corpus, "
+    rows = [(i, f"{rng.random()} {rng.choice('ab')}{line}{rng.choice('xyz')} {rng.choice(['tail one', 'tail two'])} " + line * rng.randint(0, 2)) for i in range(150)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for hot in (1, 4000):
+        assert got(sd.dedup(frame, hot_bytes=hot)) == brute(rows)

@@ -3,24 +3,26 @@
 A batch of changes is a table of signed parts: an insert adds a document and its tokens, a delete
 takes both away, a revision takes the old count and adds the new one (under another version,
 source or language, if that changed). A commit adds the parts up by key, writes the few sums to a
-folder of its own beside the log, and renames it into the log under the batch's name. The rename
-is the commit: a batch whose name is in the log is not added again, whether it is sent twice, or a
-driver or executor was lost half-way. Totals are the sums over the log; compaction replaces its
-batches by one snapshot that remembers their names.
+folder of its own, and then creates the batch's marker file in the log, which names that folder. Creating
+the file, never over another one, is the commit: a batch that has a marker is not added again, whether it is
+sent twice, by two writers at once, or a driver or executor was lost half-way. Totals are the sums over the
+log; compaction replaces its batches by one numbered snapshot that remembers their names, and a number too
+is taken by creating its marker, so of two compactors one wins and the other changes nothing.
 
 Sums are partial before the shuffle, so no key is hot, and the log holds keys, not documents.
 
 Cases: null source, language or version are keys of their own; null tokens count as 0; repeated rows
 count as often as they occur; an empty batch commits and changes nothing; keys whose documents
-and tokens are both 0 are left out of the totals; other columns are ignored.
+and tokens are both 0 are left out of the totals; a text of any length is counted whole; an empty table gives
+no row; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import json
 import re
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,64 +51,107 @@ def revisions(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 class Rollup:
-    """Totals kept under ``folder``: log/<batch>/ with the sums of a batch, and snapshots."""
+    """Totals kept under ``folder``: data/ with the sums of batches and snapshots, and markers that name them
+    in log/ (by batch) and snapshots/ (by number)."""
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark, self.folder = spark, folder or new_folder(spark, "rollup")
         jvm = spark.sparkContext._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self._fs.mkdirs(self._path(f"{self.folder}/log"))
+        for kind in ("log", "snapshots", "data"):
+            self._fs.mkdirs(self._path(f"{self.folder}/{kind}"))
 
     def _names(self, kind: str) -> list[str]:
-        path = self._path(f"{self.folder}/{kind}")
-        return sorted(s.getPath().getName() for s in self._fs.listStatus(path)) if self._fs.exists(path) else []
+        return sorted(n for s in self._fs.listStatus(self._path(f"{self.folder}/{kind}")) if not (n := s.getPath().getName()).startswith("."))
+
+    def _mark(self, marker: str, told: str) -> bool:
+        """Create a marker file; False if there is one."""
+        try:
+            out = self._fs.create(self._path(f"{self.folder}/{marker}"), False)
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" in str(e.java_exception):
+                return False
+            raise
+        out.write(bytearray(told.encode()))
+        out.close()
+        return True
+
+    def _data(self, marker: str) -> str:
+        """The folder that a marker names. A writer lost before it wrote the name leaves an empty marker; that
+        stands for the first whole folder written for it."""
+        told = "".join(r.value for r in self.spark.read.text(f"{self.folder}/{marker}").collect())
+        if not told:
+            start = marker.replace("/", "-") + "-"
+            whole = [n for n in self._names("data") if n.startswith(start) and self._fs.exists(self._path(f"{self.folder}/data/{n}/_SUCCESS"))]
+            told = whole[0]
+        return f"{self.folder}/data/{told}"
 
     def _snapshot(self) -> tuple[str | None, set[str]]:
         names = self._names("snapshots")
         if not names:
             return None, set()
-        path = f"{self.folder}/snapshots/{names[-1]}"
-        told = self.spark.read.text(f"{path}/batches").collect()
-        return f"{path}/sums", set(json.loads(told[0].value))
+        path = self._data(f"snapshots/{names[-1]}")
+        return path, {r.batch for r in self.spark.read.parquet(f"{path}-batches").collect()}
 
     def batches(self) -> set[str]:
-        """Names of all batches that are committed."""
+        """Names of all batches that are committed. The log is listed first: what leaves it is in a snapshot by then."""
         return set(self._names("log")) | self._snapshot()[1]
 
+    def _stage(self, marker: str, rows: DataFrame) -> str:
+        name = f"{marker.replace('/', '-')}-{uuid.uuid4().hex}"
+        rows.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).write.parquet(f"{self.folder}/data/{name}")
+        return name
+
     def commit(self, batch: str, parts: DataFrame) -> bool:
         """Add a batch of signed parts; False if the batch is in already (nothing changes then)."""
         if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_-]*", batch):
             raise ValueError(f"not a batch name: {batch!r}")
         if batch in self.batches():
             return False
-        staged = f"{self.folder}/staged-{uuid.uuid4().hex}"
-        sums = parts.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        sums.coalesce(1).write.parquet(staged)
-        target = self._path(f"{self.folder}/log/{batch}")
-        if self._fs.exists(target) or not self._fs.rename(self._path(staged), target):
-            drop_folder(self.spark, staged)  # another writer was first
+        return self._publish(batch, self._stage(f"log/{batch}", parts))
+
+    def _publish(self, batch: str, staged: str) -> bool:
+        # A batch that a snapshot took up meanwhile has no marker any more, so both are asked.
+        if batch in self._snapshot()[1] or not self._mark(f"log/{batch}", staged):
+            drop_folder(self.spark, f"{self.folder}/data/{staged}")  # another writer was first
             return False
         return True
 
-    def totals(self) -> DataFrame:
-        """source, lang, version, n_docs, n_tokens over all committed batches."""
+    def _rows(self) -> tuple[DataFrame, set[str]]:
+        log = self._names("log")
         snapshot, done = self._snapshot()
-        paths = [f"{self.folder}/log/{b}" for b in self._names("log") if b not in done] + ([snapshot] if snapshot else [])
+        paths = [self._data(f"log/{b}") for b in log if b not in done] + ([snapshot] if snapshot else [])
         rows = self.spark.read.schema(SCHEMA).parquet(*paths) if paths else self.spark.createDataFrame([], SCHEMA)
-        sums = rows.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+        return rows, done | set(log)
+
+    def totals(self) -> DataFrame:
+        """source, lang, version, n_docs, n_tokens over all committed batches."""
+        sums = self._rows()[0].groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
         return sums.where("n_docs <> 0 or n_tokens <> 0")
 
-    def compact(self) -> None:
-        """Replace the log's batches by a snapshot; a snapshot counts once its folder is renamed."""
-        done, number = self.batches(), len(self._names("snapshots"))
-        staged = f"{self.folder}/staged-{uuid.uuid4().hex}"
-        self.totals().coalesce(1).write.parquet(f"{staged}/sums")
-        self.spark.createDataFrame([(json.dumps(sorted(done)),)], "value string").coalesce(1).write.text(f"{staged}/batches")
-        self._fs.mkdirs(self._path(f"{self.folder}/snapshots"))
-        if self._fs.rename(self._path(staged), self._path(f"{self.folder}/snapshots/{number:08d}")):
-            for batch in done & set(self._names("log")):
-                drop_folder(self.spark, f"{self.folder}/log/{batch}")
+    def compact(self) -> bool:
+        """Replace the log's batches by a snapshot; False if another compactor took its number first."""
+        staged = self.prepare()
+        return self.publish(*staged)
+
+    def prepare(self) -> tuple[str, str, set[str]]:
+        """(number, folder, batches) of a snapshot that is written but doesn't count yet."""
+        names = self._names("snapshots")
+        number = f"{int(names[-1]) + 1 if names else 0:08d}"
+        rows, done = self._rows()
+        staged = self._stage(f"snapshots/{number}", rows)
+        self.spark.createDataFrame([(b,) for b in sorted(done)], "batch string").coalesce(1).write.parquet(f"{self.folder}/data/{staged}-batches")
+        return number, staged, done
+
+    def publish(self, number: str, staged: str, done: set[str]) -> bool:
+        if not self._mark(f"snapshots/{number}", staged):
+            for part in (staged, f"{staged}-batches"):
+                drop_folder(self.spark, f"{self.folder}/data/{part}")
+            return False
+        for batch in done & set(self._names("log")):  # markers only: a plan made before may still read the sums
+            drop_folder(self.spark, f"{self.folder}/log/{batch}")
+        return True
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:

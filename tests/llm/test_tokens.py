@@ -104,6 +104,28 @@ def test_rollup_commits_once(spark):
         rollup.commit("../x", token_rollup.inserts(counts))
 
 
+def test_two_writers_and_two_compactors(spark):
+    """Each prepares before the other has published: one wins, and nothing is lost or counted twice."""
+    part = lambda n: token_rollup.inserts(spark.createDataFrame([("a", "en", "v", n)], "source string, lang string, version string, tokens long"))
+    one = token_rollup.Rollup(spark)
+    two = token_rollup.Rollup(spark, one.folder)
+    staged = [r._stage("log/b", part(7)) for r in (one, two)]
+    assert one._publish("b", staged[0]) and not two._publish("b", staged[1])
+    first = one.prepare()
+    assert two.commit("c", part(1))
+    second = two.prepare()  # it has seen one batch more
+    assert one.publish(*first) and not two.publish(*second)
+    assert one.batches() == two.batches() == {"b", "c"} and totals(two.totals()) == {("a", "en", "v"): (2, 8)}
+    assert two.compact() and not one.commit("c", part(1)) and not one.commit("b", part(7))
+    assert totals(one.totals()) == {("a", "en", "v"): (2, 8)} and one._names("log") == []
+    # A batch that was staged before a compaction took it up isn't published after it.
+    late = two._stage("log/c", part(1))
+    assert not two._publish("c", late) and totals(one.totals()) == {("a", "en", "v"): (2, 8)}
+    # A writer lost between creating its marker and naming its folder.
+    three = one._stage("log/d", part(5))
+    assert one._mark("log/d", "") and three and totals(two.totals()) == {("a", "en", "v"): (3, 13)}
+
+
 def test_maintained_totals_equal_a_recount(odd_docs, no_docs, library):
     got = totals(token_rollup.maintain(odd_docs, tokenizer_path(), "bpe"))
     rows = odd_docs.select("doc_id", "text", "source", "lang").collect()

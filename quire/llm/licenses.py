@@ -2,8 +2,9 @@
 
 A template is wording with two kinds of markup, in the manner of public licence templates:
 ``[[ ... ]]`` is optional, ``{{name:n}}`` stands for 0 to n words of any kind. All other words
-are mandatory and must match exactly, as words after folding A-Z to a-z. A template compiles to
-a nondeterministic automaton over words, and accepts wherever its wording stands in a text.
+are mandatory and must match exactly, as words after folding A-Z to a-z. A template, a short notice or a
+whole licence text, compiles to a nondeterministic automaton over words, and accepts wherever all of its
+wording stands in a text.
 
 A text is searched for each template's longest mandatory run of words first (a substring search);
 only texts that hold it are run through the automaton, one pass over the words for all starts.
@@ -11,7 +12,8 @@ only texts that hold it are run through the automaton, one pass over the words f
 One pass over the rows, no shuffle; memory is one Arrow batch.
 
 Cases: null text counts as empty: n_words 0, n_base 0, null first_word and last_word, empty labels,
-score 0. Repeated rows each get their row; an empty table gives none; other columns are ignored.
+score 0. Repeated rows each get their row; a text of any length is scanned whole; an empty table gives none;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,15 +24,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import ALNUM_TABLE
+from quire.llm.common import ALNUM_TABLE, no_worker_state
 
 # Phrases and labels of the base.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Templates of well-known public notices: (label, markup).
-TEMPLATES = (
+# Notices that name a licence, as (label, markup).
+NOTICES = (
     ("apache-2.0", "licensed under the apache license [[ version ]] 2 0"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
     ("cc-by-4.0", "[[ creative commons ]] cc by [[ license ]] [[ version ]] 4 0"),
     ("cc-by-nc-4.0", "[[ creative commons ]] cc by nc [[ license ]] [[ version ]] 4 0"),
     ("cc-by-sa-4.0", "[[ creative commons ]] cc by sa [[ license ]] [[ version ]] 4 0"),
@@ -38,9 +39,69 @@ TEMPLATES = (
     ("gpl-2.0", "gnu general public license [[ as published by the free software foundation ]] [[ either ]] version 2"),
     ("gpl-3.0", "gnu general public license [[ as published by the free software foundation ]] [[ either ]] version 3"),
     ("mit", "[[ the ]] mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files {{defined name:4}} to deal in the software without restriction"),
     ("spdx", "spdx license identifier {{name:8}} text"),
 )
+# Whole licence texts, words only. All wording outside the markup is mandatory.
+REDISTRIBUTION = """
+    redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met
+    [[ 1 ]] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer
+    [[ 2 ]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer
+    in the documentation and or other materials provided with the distribution
+"""
+AS_IS = """
+    this software is provided by {{holder:12}} as is and any express or implied warranties including but not limited to the implied warranties
+    of merchantability and fitness for a particular purpose are disclaimed in no event shall {{holder:12}} be liable for any direct indirect
+    incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use
+    data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort
+    including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage
+"""
+TEXTS = (
+    ("apache-2.0", """
+        licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license
+        you may obtain a copy of the license at [[ http www apache org licenses license 2 0 ]] [[ https www apache org licenses license 2 0 ]]
+        unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis
+        without warranties or conditions of any kind either express or implied see the license for the specific language governing
+        permissions and limitations under the license"""),
+    ("bsd-2-clause", REDISTRIBUTION + AS_IS),
+    ("bsd-3-clause", REDISTRIBUTION + """
+        [[ 3 ]] neither the name of {{holder:12}} nor the names of its contributors may be used to endorse or promote products derived from this
+        software without specific prior written permission""" + AS_IS),
+    ("gpl-2.0-or-later", """
+        this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published
+        by the free software foundation either version 2 of the license or at your option any later version this program is distributed in the
+        hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular
+        purpose see the gnu general public license for more details"""),
+    ("gpl-3.0-or-later", """
+        this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published
+        by the free software foundation either version 3 of the license or at your option any later version this program is distributed in the
+        hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular
+        purpose see the gnu general public license for more details"""),
+    ("isc", """
+        permission to use copy modify and [[ or ]] distribute this software for any purpose with or without fee is hereby granted provided that
+        the above copyright notice and this permission notice appear in all copies the software is provided as is and {{holder:8}} disclaims all
+        warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall {{holder:8}} be
+        liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits
+        whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of
+        this software"""),
+    ("mit", """
+        permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files {{defined name:4}}
+        to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute
+        sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following
+        conditions the above copyright notice and this permission notice [[ including the next paragraph ]] shall be included in all copies or
+        substantial portions of the software the software is provided as is without warranty of any kind express or implied including but not
+        limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall {{holder:12}} be liable
+        for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with
+        the software or the use or other dealings in the software"""),
+    ("zlib", """
+        this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages
+        arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial
+        applications and to alter it and redistribute it freely subject to the following restrictions [[ 1 ]] the origin of this software must
+        not be misrepresented you must not claim that you wrote the original software if you use this software in a product an acknowledgment
+        in the product documentation would be appreciated but is not required [[ 2 ]] altered source versions must be plainly marked as such
+        and must not be misrepresented as being the original software [[ 3 ]] this notice may not be removed or altered from any source
+        distribution"""),
+)
+TEMPLATES = NOTICES + TEXTS
 MARKUP = re.compile(r"\[\[|\]\]|\{\{[^:}]*:(\d+)\}\}|[^\s\[\]{}]+")
 
 
@@ -53,7 +114,6 @@ class Automaton:
     skips: list[list[int]]
     end: int
     required: bytes
-    pattern: str  # the same language as a regular expression over " word word"
 
     def closure(self, states: set[int]) -> set[int]:
         todo, found = list(states), set(states)
@@ -80,7 +140,6 @@ def compile_template(label: str, markup: str) -> Automaton:
     skips: list[list] = [[]]
     opened: list[int] = []
     runs: list[list[str]] = [[]]
-    pattern = ""
 
     def step(word: bytes | None) -> None:
         moves.append([])
@@ -92,11 +151,9 @@ def compile_template(label: str, markup: str) -> Automaton:
         if part == "[[":
             opened.append(len(moves) - 1)
             runs.append([])
-            pattern += "(?:"
         elif part == "]]":
             skips[opened.pop()].append(len(moves) - 1)
             runs.append([])
-            pattern += ")?"
         elif m.group(1):
             first = len(moves) - 1
             for _ in range(int(m.group(1))):
@@ -104,14 +161,12 @@ def compile_template(label: str, markup: str) -> Automaton:
             for s in range(first, len(moves) - 1):
                 skips[s].append(len(moves) - 1)
             runs.append([])
-            pattern += f"(?: [^ ]+){{0,{m.group(1)}}}"
         else:
             step(part.encode())
             if not opened:
                 runs[-1].append(part)
-            pattern += " " + part
     required = max(runs, key=lambda r: len(" ".join(r)))
-    return Automaton(label, moves, skips, len(moves) - 1, f" {' '.join(required)} ".encode(), pattern + " ")
+    return Automaton(label, moves, skips, len(moves) - 1, f" {' '.join(required)} ".encode())
 
 
 def _places(text: bytes, phrase: bytes) -> list[int]:
@@ -137,6 +192,7 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=TEMPLATES
 
         base = [(f" {p} ".encode(), label) for p, label in phrases.items()]
         automata = [compile_template(*t) for t in templates]
+        no_worker_state()
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):

@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from quire.llm.licenses import PHRASES, TEMPLATES, compile_template
+import re
+
+from quire.llm.licenses import PHRASES, TEMPLATES
 
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
 
+def template_pattern(markup: str) -> str:
+    """A template's markup as a regular expression over " word word ", by text substitution alone."""
+    flat = " " + " ".join(markup.split())
+    flat = re.sub(r" \[\[((?: \w+)+) \]\]", r"(?:\1)?", flat)
+    return re.sub(r" \{\{[^:}]*:(\d+)\}\}", r"(?: [^ ]+){0,\1}", flat) + " "
+
+
 def _op8() -> str:
     return rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({FOLD}, {ALNUM}) AS w FROM documents),
@@ -47,7 +56,7 @@ def _op10() -> str:
     base = ", ".join(f"CASE WHEN {c} THEN '{x}' END" for x, c in labels)
     own: dict[str, list[str]] = {}
     for label, markup in TEMPLATES:
-        own.setdefault(label, []).append(f"regexp_matches(s, '{compile_template(label, markup).pattern}')")
+        own.setdefault(label, []).append(f"regexp_matches(s, '{template_pattern(markup)}')")
     more = ", ".join(f"CASE WHEN {' OR '.join(c)} THEN '{x}' END" for x, c in own.items())
     tidy = "array_to_string(list_sort(list_distinct(list_filter({}, lambda x: x IS NOT NULL))), ',')"
     return f"""

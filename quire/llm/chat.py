@@ -18,8 +18,9 @@ an escaped text and unescaping is exact. The loss mask is one span of code point
 (start included, end not): an assistant's text, or an empty span.
 
 Cases: null text or role counts as empty; a null conversation id is a conversation of its own;
-turns that tie are ordered by role, then text; repeated rows are repeated turns; an empty table
-gives no conversation; other columns are ignored.
+events that tie are ordered by kind, role, text and message number (null first), so turns that tie by role and
+text; repeated rows are repeated turns; a very long text is one value of a row; an empty table gives no
+conversation; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: The order of a conversation's events; those equal in all of it are alike.
+ORDER = ("seq", "kind", "role", "text", "message")
 START, END = "<|im_start|>", "<|im_end|>"
 
 
@@ -52,10 +55,28 @@ def events_of_turns(turns: DataFrame) -> DataFrame:
     )
 
 
+def streamed(events: DataFrame, pieces: int = 3) -> DataFrame:
+    """A log of ``message`` events told as a live conversation tells it, with the same final messages:
+
+    * an assistant's message opens with a draft, is regenerated with nothing, and its text then comes in deltas,
+    * any other message opens with a draft and is edited to its text.
+
+    Sequence numbers are those of the messages, spread out; order among equals stays that of the messages.
+    """
+    order = Window.partitionBy("conv_id").orderBy(*ORDER)
+    rows = events.withColumns({"__at": F.row_number().over(order).cast("long"), "__size": F.greatest(F.ceil(F.char_length("text") / pieces), F.lit(1)).cast("int")})
+    event = lambda step, kind, text: F.struct(F.lit(step).cast("long").alias("step"), F.lit(kind).alias("kind"), text.alias("text"))
+    draft = F.concat(F.lit("draft of "), F.reverse("text"))
+    deltas = [event(2 + i, "delta", F.substring(F.col("text"), F.col("__size") * i + 1, F.col("__size"))) for i in range(pieces)]
+    live = F.array(event(0, "message", draft), event(1, "regenerate", F.lit("")), *deltas)
+    edited = F.array(event(0, "message", draft), event(1, "edit", F.col("text")))
+    told = rows.withColumn("e", F.explode(F.when(F.col("role") == "assistant", live).otherwise(edited)))
+    return told.select("conv_id", (F.col("__at") * (pieces + 2) + F.col("e.step")).alias("seq"), F.col("e.kind").alias("kind"), F.when(F.col("e.step") > 0, F.col("__at") - 1).alias("message"), "role", F.col("e.text").alias("text"))
+
+
 def fold(events: DataFrame) -> DataFrame:
     """Final messages (conv_id, message, role, text) of a log (conv_id, seq, kind, message, role, text)."""
-    order = [F.col("seq").asc_nulls_first(), "kind", "role", "text"]
-    conversation = Window.partitionBy("conv_id").orderBy(*order)
+    conversation = Window.partitionBy("conv_id").orderBy(*ORDER)
     so_far = conversation.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     opened = F.sum((F.col("kind") == "message").cast("long")).over(so_far) - 1
     numbered = events.select("*", opened.alias("__opened"), F.row_number().over(conversation).alias("__at"))

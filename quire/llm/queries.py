@@ -57,7 +57,8 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text")
     )
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
-    return chat.digest(materialize(chat.render(chat.fold(chat.events_of_turns(turns))), "chat"))
+    log = chat.streamed(chat.events_of_turns(turns))  # drafts, regenerations, deltas and edits, which the fold undoes
+    return chat.digest(materialize(chat.render(chat.fold(log)), "chat"))
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,6 +41,22 @@ def test_round_trip(spark):
     assert one.formatted == formatted([(r, t) for c, _, r, t in sorted(rows) if c == 3])
 
 
+def test_live_log_folds_to_the_turns(spark):
+    rng = random.Random(6)
+    rows = [(c, rng.choice([t, t, None]), rng.choice(["user", "assistant", "system"]), rng.choice(["", "a", "bcd", "é🙂x y z", "w " * 50])) for c in range(30) for t in range(rng.randint(1, 6))]
+    events = chat.events_of_turns(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    log = chat.streamed(events)
+    assert {r.kind for r in log.select("kind").distinct().collect()} == {"message", "delta", "edit", "regenerate"}
+    assert {r.conv_id: tuple(r)[1:] for r in chat.digest(chat.render(chat.fold(log))).collect()} == expected(rows)
+    told: dict = {}
+    for r in log.collect():
+        told.setdefault(r.conv_id, []).append((r.seq, r.kind, r.message, r.role, r.text))
+    found: dict = {}
+    for r in chat.fold(log).collect():
+        found.setdefault(r.conv_id, []).append((r.message, r.role, r.text))
+    assert {c: sorted(v) for c, v in found.items()} == {c: fold(v) for c, v in told.items()}
+
+
 def test_odd_rows(spark):
     rows = [(1, 0, "user", None), (1, 1, "assistant", ""), (1, 1, "assistant", ""), (None, None, None, None), (2, None, "assistant", "a" * 200_000), (2, 0, "assistant", "b"), (2, 0, "ASSISTANT", "c")]
     from pyspark.sql import functions as F
@@ -92,5 +108,5 @@ def test_deltas_edits_regenerations(spark):
 def test_no_python(spark):
     frame = spark.createDataFrame([(1, 0, "user", "x")], SCHEMA)
     turns = spark.sql("select 1L conv_id, 0L turn, 'user' role, 'x' text")
-    plan = chat.digest(chat.render(chat.fold(chat.events_of_turns(turns))))._jdf.queryExecution().toString()
+    plan = chat.digest(chat.render(chat.fold(chat.streamed(chat.events_of_turns(turns)))))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and frame

@@ -92,6 +92,17 @@ def populate(chunks: DataFrame, answer: str = "answer") -> DataFrame:
     return found.select(*[c for c in chunks.columns if c not in new and c != answer], *[v.alias(k) for k, v in new.items()])
 
 
+# The request of an overview alone, and its length.
+OVERVIEW_PROMPT, OVERVIEW_TOKENS = "In 1-2 sentences, describe this region.", 256
+
+
+def overviews(chunks: DataFrame, model, concurrency: int = 8) -> DataFrame:
+    """``chunks`` with overview asked for on its own, by a short prompt."""
+    asked = call_model(chunks.drop("overview").withColumn("prompt", F.lit(OVERVIEW_PROMPT)), model, concurrency=concurrency)
+    said = F.coalesce(parse_answer(F.col("answer"))["overview"], F.lit(""))
+    return asked.withColumn("overview", said).drop("prompt", "answer")
+
+
 def chunk_regions_lookup(chunks: DataFrame, regions: DataFrame) -> DataFrame:
     """Each chunk with the first region of its crop path (region_id; null if there is none)."""
     first = regions.groupBy("document_id", "cropped_image_path").agg(F.min_by("region_id", F.struct("page_number", "region_index")).alias("region_id"))

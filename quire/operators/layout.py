@@ -65,11 +65,76 @@ def full_page_regions(pages: DataFrame) -> DataFrame:
     return pages.select("document_id", "page_number", F.lit(0).alias("region_index"), F.lit("text").alias("region_type"), bbox(F.lit(0), F.lit(0), F.lit(PAGE_WIDTH), F.lit(PAGE_HEIGHT)).alias("bbox"), F.col("native_text").alias("text"), F.lit(1.0).alias("detector_confidence"))
 
 
-MIN_CONFIDENCE = 0.25
+# Least confidence of a detection, and the overlap from which a weaker one goes.
+MIN_CONFIDENCE, MAX_OVERLAP = 0.25, 0.45
+
+
+def overlap(a: tuple, b: tuple) -> float:
+    """Intersection over union of two boxes (x0, y0, x1, y1)."""
+    width, height = min(a[2], b[2]) - max(a[0], b[0]), min(a[3], b[3]) - max(a[1], b[1])
+    both = max(0.0, width) * max(0.0, height)
+    either = (a[2] - a[0]) * (a[3] - a[1]) + (b[2] - b[0]) * (b[3] - b[1]) - both
+    return both / either if either > 0 else 0.0
+
+
+def suppressed(found: list[tuple], least: float = MIN_CONFIDENCE, most: float = MAX_OVERLAP) -> list[tuple]:
+    """Detections (class, x0, y0, x1, y1, confidence) of ``least`` confidence, surest first, without those that
+    overlap a surer one of their class."""
+    kept: list[tuple] = []
+    for d in sorted((d for d in found if d[5] >= least), key=lambda d: -d[5]):
+        if all(d[0] != k[0] or overlap(d[1:5], k[1:5]) <= most for k in kept):
+            kept.append(d)
+    return kept
+
+
+def preprocess(pages: DataFrame, steps) -> DataFrame:
+    """Pages with their image column cleaned up: deskewed, denoised, contrast evened, and doubled in size if
+    under the least resolution; ``steps`` has these four as methods. Pages without image stay as they are."""
+    at, height = pages.columns.index("image"), pages.withColumn("__h", F.col("metadata")["height"].cast("double"))
+    rows = height.select(*pages.columns, F.coalesce(upscale_factor(F.col("__h")), F.lit(1)).alias("__factor"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            out = []
+            for image, factor in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
+                if image is not None:
+                    image = steps.contrast(steps.denoise(steps.deskew(image)))
+                    image = steps.enlarge(image, factor) if factor > 1 else image
+                out.append(image)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()) if i == at else c for i, c in enumerate(batch.columns[:-1])], batch.schema.names[:-1])
+
+    return rows.mapInArrow(run, pages.schema)
+
+
+def crop_regions(regions: DataFrame, pages: DataFrame, cropper, pad: float = CROP_PAD) -> DataFrame:
+    """``regions`` with crop (the region's image) and content_hash of it; null where the page has no image or the
+    cropper fails on it."""
+    box = crop_box(F.col("bbox"), pad)
+    key = ["document_id", "page_number", "region_index"]
+    images = pages.where("image is not null").select("document_id", "page_number", "image")
+    asked = regions.join(images, ["document_id", "page_number"]).select(*key, "image", *[box[c].alias(c) for c in ("x0", "y0", "x1", "y1")])
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            out = []
+            for image, *corners in zip(*(c.to_pylist() for c in batch.columns[3:])):
+                try:
+                    out.append(cropper.crop(image, *corners))
+                except Exception:  # noqa: BLE001  a region that can't be cropped stays a region
+                    out.append(None)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.binary())], [*key, "crop"])
+
+    kinds = {c: asked.schema[c].dataType.simpleString() for c in key}
+    crops = asked.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in key) + ", crop binary")
+    return regions.join(crops.withColumn("content_hash", F.sha2("crop", 256)), key, "left")
 
 
 def detect_regions(pages: DataFrame, detector, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Regions that a detector finds on pages with an image column, in its order.
+    """Regions that a detector finds on pages with an image column, surest first.
 
     The detector is any object with ``detect(image) -> [(class, x0, y0, x1, y1, confidence)]`` and
     ``size(image) -> (width, height)``; it is sent to the executors once a task.
@@ -83,7 +148,7 @@ def detect_regions(pages: DataFrame, detector, min_confidence: float = MIN_CONFI
             rows = []
             for document, page, image in zip(*(c.to_pylist() for c in batch.columns)):
                 size = tuple(map(float, detector.size(image)))
-                kept = [d for d in detector.detect(image) if d[5] >= min_confidence]
+                kept = suppressed(detector.detect(image), min_confidence)
                 rows += [(document, page, i, d[0], *map(float, d[1:5]), *size, float(d[5])) for i, d in enumerate(kept)]
             kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), *[pa.float64()] * 7]
             names = [f.split()[0] for f in schema.split(", ")]

@@ -1,14 +1,18 @@
-"""Tables as stores: keyed upserts by versioned folders, lookups, the write manifest."""
+"""Tables as stores: keyed upserts as a log, lookups, the write manifest."""
 
 from __future__ import annotations
 
+import functools
+import json
 import uuid
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quire.operators import graph
 from quire.session import shared_folder
 
 # Columns that an upsert of an existing row replaces.
@@ -33,17 +37,21 @@ def point_id(chunk_id: Column) -> Column:
     return F.conv(F.substring(F.replace(chunk_id, F.lit("-")), 1, 16), 16, 10).cast("decimal(20,0)")
 
 
+def last_by_key(new: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """One row a key: the last by ``order``, without it any."""
+    if order is None:
+        return new.dropDuplicates(keys)
+    last = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(order).desc()))
+    return new.withColumn("__n", last).where("__n = 1").drop("__n")
+
+
 def upsert_rows(old: DataFrame | None, new: DataFrame, keys: list[str], updates: Iterable[str] | None = None, order: str | None = None) -> DataFrame:
     """``old`` with the rows of ``new`` put in by key. ``updates``: the columns that an existing row takes
     from the new one (None: all). Of several new rows of a key the last by ``order`` counts.
 
     A full outer join by key: both sides shuffle once, neither is broadcast.
     """
-    if order:
-        last = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(order).desc()))
-        new = new.withColumn("__n", last).where("__n = 1").drop("__n")
-    else:
-        new = new.dropDuplicates(keys)
+    new = last_by_key(new, keys, order)
     if old is None:
         return new
     columns = list(dict.fromkeys([*old.columns, *new.columns]))
@@ -51,7 +59,7 @@ def upsert_rows(old: DataFrame | None, new: DataFrame, keys: list[str], updates:
     b = new.select(F.struct(*new.columns).alias("b"), *[F.col(k).alias(f"__b_{k}") for k in keys])
     same = None
     for k in keys:
-        test = F.col(f"__a_{k}") == F.col(f"__b_{k}")
+        test = F.col(f"__a_{k}").eqNullSafe(F.col(f"__b_{k}"))
         same = test if same is None else same & test
     joined = a.join(b, same, "full")
     taken = set(columns if updates is None else updates)
@@ -66,48 +74,144 @@ def upsert_rows(old: DataFrame | None, new: DataFrame, keys: list[str], updates:
     return joined.select(*[value(c).alias(c) for c in columns])
 
 
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+
+
 class TableStore:
-    """A table whose versions are folders; the pointer file CURRENT names the one that counts.
+    """A table kept as a log of upserts, folded by key when it is read.
+
+    An upsert writes its rows, and no others, to a folder of its own, dealt into buckets by key, and then
+    creates the next marker file in log/, never over another one. The marker is the commit: a writer that
+    finds its number taken goes on to the next, so two writers both count, and a failed write counts for
+    nothing. Of a key's rows the last counts, but for columns outside ``updates``, which stay as first written.
 
-    A write makes a new folder and then moves a new pointer into place, so readers see the old version
-    or the new one, and a failed write leaves the old one as it was.
+    Compaction writes the fold as a base and marks it with the number it covers; it is due when there are
+    ``compact_after`` upserts of together half the base's size or more, so rows are rewritten a number of
+    times that grows with the logarithm of the table. ``bloom``: columns whose Parquet files get Bloom filters.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, keys: list[str], updates: Iterable[str] | None = None, partition_by: list[str] | None = None):
-        self.spark, self.folder, self.keys, self.updates, self.partition_by = spark, folder.rstrip("/"), keys, updates, partition_by or []
+    def __init__(self, spark: SparkSession, folder: str, keys: list[str], updates: Iterable[str] | None = None, buckets: int = 16, compact_after: int = 16, bloom: Iterable[str] = ()):
+        self.spark, self.folder, self.keys, self.buckets, self.compact_after = spark, folder.rstrip("/"), keys, buckets, compact_after
+        self.updates, self.bloom = None if updates is None else set(updates), tuple(bloom)
         self._jvm = spark.sparkContext._jvm
-        self._fs = self._jvm.org.apache.hadoop.fs.Path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._fs = self._path("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def _path(self, name: str):
-        return self._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
-
-    def version(self) -> str | None:
-        names = sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(""))) if self._fs.exists(self._path("")) else []
-        pointers = [n for n in names if n.startswith("CURRENT-")]
-        return pointers[-1].split("-", 2)[2] if pointers else None
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
+
+    def _numbers(self) -> list[int]:
+        log = self._path("log")
+        return sorted(int(n) for s in self._fs.listStatus(log) if (n := s.getPath().getName()).isdigit()) if self._fs.exists(log) else []
+
+    def _entries(self) -> list[dict]:
+        """What counts, oldest first: the widest base, then the upserts after what it covers."""
+        told = []
+        for n in self._numbers():
+            file = self._fs.open(self._path(f"log/{n:012d}"))
+            raw = bytes(file.readAllBytes())
+            file.close()
+            if raw:  # a writer lost before it closed its marker committed nothing
+                told.append(json.loads(raw) | {"number": n})
+        base = max((e for e in told if "covers" in e), key=lambda e: e["covers"], default=None)
+        after = [e for e in told if "covers" not in e and (base is None or e["number"] > base["covers"])]
+        return ([base] if base else []) + after
+
+    def version(self) -> int | None:
+        numbers = self._numbers()
+        return numbers[-1] if numbers else None
+
+    def _write(self, rows: DataFrame) -> dict:
+        name = f"data/{uuid.uuid4().hex}"
+        writer = rows.withColumn("__bucket", bucket_of(self.keys, self.buckets)).write.partitionBy("__bucket")
+        for c in self.bloom:
+            if c in rows.columns:
+                writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+        writer.parquet(f"{self.folder}/{name}")
+        return {"data": name, "schema": rows.schema.json(), "bytes": self._fs.getContentSummary(self._path(name)).getLength()}
+
+    def _commit(self, told: dict) -> int:
+        numbers = self._numbers()
+        number = numbers[-1] + 1 if numbers else 0
+        while True:
+            try:
+                out = self._fs.create(self._path(f"log/{number:012d}"), False)
+                break
+            except Py4JJavaError as e:
+                if "FileAlreadyExists" not in str(e.java_exception):
+                    raise
+                number += 1
+        out.write(bytearray(json.dumps(told).encode()))
+        out.close()
+        return number
+
+    def _fold(self, entries: list[dict], narrow: Callable[[DataFrame], DataFrame] = lambda d: d) -> DataFrame | None:
+        if not entries:
+            return None
+        frames, have = [], []
+        for i, e in enumerate(entries):
+            schema = T.StructType.fromJson(json.loads(e["schema"]))
+            have.append(schema.names)
+            stored = T.StructType([*(T.StructField(f.name, f.dataType) for f in schema), T.StructField("__bucket", T.IntegerType())])
+            rows = narrow(self.spark.read.schema(stored).parquet(f"{self.folder}/{e['data']}"))
+            frames.append(rows.drop("__bucket").withColumn("__n", F.lit(i)))
+        if len(frames) == 1:
+            return frames[0].drop("__n")
+        rows = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        columns = list(dict.fromkeys(c for names in have for c in names))
+
+        def value(c: str) -> Column:
+            written = F.when(F.col("__n").isin([i for i, names in enumerate(have) if c in names]), F.col("__n"))
+            return (F.max_by if self.updates is None or c in self.updates else F.min_by)(c, written).alias(c)
+
+        return rows.groupBy(*self.keys).agg(*[value(c) for c in columns if c not in self.keys]).select(columns)
 
     def read(self) -> DataFrame | None:
-        version = self.version()
-        return None if version is None else self.spark.read.parquet(f"{self.folder}/{version}")
+        return self._fold(self._entries())
+
+    def matching(self, rows: DataFrame) -> DataFrame | None:
+        """The stored rows with a key that ``rows`` have; only the buckets of those keys are read."""
+        keys = write_and_read(rows.select(*self.keys).distinct())
+        inside = [r[0] for r in keys.select(bucket_of(self.keys, self.buckets)).distinct().collect()]  # ``buckets`` numbers at most
+        return self._fold(self._entries(), lambda d: d.where(F.col("__bucket").isin(inside)).join(keys, self.keys, "left_semi"))
 
     def upsert(self, new: DataFrame, order: str | None = None) -> None:
-        merged = upsert_rows(self.read(), new, self.keys, self.updates, order)
-        version = f"v-{uuid.uuid4().hex}"
-        writer = merged.write.partitionBy(*self.partition_by) if self.partition_by else merged.write
-        writer.parquet(f"{self.folder}/{version}")
-        done = sorted(s.getPath().getName() for s in self._fs.listStatus(self._path("")) if s.getPath().getName().startswith("CURRENT-"))
-        number = int(done[-1].split("-", 2)[1]) + 1 if done else 0
-        self._fs.create(self._path(f"CURRENT-{number:09d}-{version}"), False).close()
+        """Put rows in by key; of several new rows of a key the last by ``order`` counts (without it: any)."""
+        self._commit(self._write(last_by_key(new, self.keys, order)))
+        entries = self._entries()
+        deltas = [e for e in entries if "covers" not in e]
+        base = sum(e["bytes"] for e in entries if "covers" in e)
+        if len(deltas) >= self.compact_after and 2 * sum(e["bytes"] for e in deltas) >= base:
+            self.compact()
+
+    def compact(self) -> None:
+        entries = self._entries()
+        if len(entries) > 1:
+            self._commit(self._write(self._fold(entries)) | {"covers": max(e.get("covers", e["number"]) for e in entries)})
+
+    def vacuum(self) -> None:
+        """Delete what no longer counts; for when nobody reads an earlier state."""
+        entries = self._entries()
+        kept, covered = {e["data"].split("/")[1] for e in entries}, max((e["covers"] for e in entries if "covers" in e), default=-1)
+        if not entries:
+            return
+        newest = max(e["number"] for e in entries)
+        for n in self._numbers():
+            if n < newest and n not in {e["number"] for e in entries} and n <= max(covered, newest):
+                self._fs.delete(self._path(f"log/{n:012d}"), False)
+        for s in self._fs.listStatus(self._path("data")):
+            if s.getPath().getName() not in kept:
+                self._fs.delete(s.getPath(), True)
 
 
 class DocumentStore:
-    """Documents, chunks and regions under one folder."""
+    """Documents, chunks and regions under one folder, by identifier; documents also by content_hash."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
-        self.documents = TableStore(spark, f"{folder}/documents", ["document_id"])
-        self.chunks = TableStore(spark, f"{folder}/chunks", ["chunk_id"], CHUNK_UPDATES)
-        self.regions = TableStore(spark, f"{folder}/regions", ["region_id"], REGION_UPDATES)
+        self.documents = TableStore(spark, f"{folder}/documents", ["document_id"], bloom=["content_hash"])
+        self.chunks = TableStore(spark, f"{folder}/chunks", ["chunk_id"], CHUNK_UPDATES, bloom=["document_id"])
+        self.regions = TableStore(spark, f"{folder}/regions", ["region_id"], REGION_UPDATES, bloom=["document_id"])
 
     def write(self, documents: DataFrame, chunks: DataFrame, regions: DataFrame) -> None:
         self.documents.upsert(documents)
@@ -119,8 +223,7 @@ class DocumentStore:
         return None if found is None else found.where(F.col("content_hash") == content_hash)
 
     def get_chunk(self, chunk_id: str) -> DataFrame | None:
-        found = self.chunks.read()
-        return None if found is None else found.where(F.col("chunk_id") == chunk_id)
+        return self.chunks.matching(self.spark.createDataFrame([(chunk_id,)], "chunk_id string"))
 
     def chunks_of(self, document_id: str) -> DataFrame | None:
         found = self.chunks.read()
@@ -134,6 +237,54 @@ class DocumentStore:
         """Nothing is held open."""
 
 
+class GraphStore:
+    """The property graph as tables: nodes (documents, chunks, regions, entities, table rows) and edges."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        table = lambda name, *keys: TableStore(spark, f"{folder}/{name}", list(keys))
+        self.spark = spark
+        self.documents, self.chunks, self.regions = table("documents", "content_hash"), table("chunks", "chunk_id"), table("regions", "region_id")
+        self.has_chunk, self.has_region = table("has_chunk", "document_id", "chunk_id"), table("has_region", "document_id", "region_id")
+        self.next_chunk, self.mentions, self.table_rows = table("next_chunk", "from_id"), table("mentions", "chunk_id", "text", "type"), table("table_rows", "chunk_id", "row_index")
+
+    def write(self, documents: DataFrame, chunks: DataFrame, regions: DataFrame) -> None:
+        """Writing the same again changes nothing: every node and edge has a key."""
+        self.documents.upsert(documents.select("content_hash", "document_id", "source_path"))
+        self.chunks.upsert(chunks.select("chunk_id", "document_id", "reading_order_index", "content_type", "page_number"))
+        self.regions.upsert(regions.select("region_id", "document_id", "page_number", "region_index", "region_type"))
+        self.has_chunk.upsert(graph.has_chunk(chunks))
+        self.has_region.upsert(graph.has_region(regions))
+        self.next_chunk.upsert(graph.next_chunk(chunks))
+        self.mentions.upsert(graph.mentions(chunks))
+        self.table_rows.upsert(graph.table_rows(chunks))
+
+    def children(self, content_hash: str) -> DataFrame:
+        """The chunks of a document in reading order."""
+        document = self.documents.read().where(F.col("content_hash") == content_hash).select("document_id")
+        held = self.has_chunk.read().join(document, "document_id", "left_semi").select("chunk_id")
+        return self.chunks.read().join(held, "chunk_id", "left_semi").orderBy("reading_order_index", "chunk_id")
+
+    def entities(self) -> DataFrame:
+        return graph.entities(self.mentions.read())
+
+
+class VectorStore:
+    """Vectors of chunks with their payload, by chunk_id."""
+
+    def __init__(self, spark: SparkSession, folder: str, embedder, visual: bool = False):
+        self.table, self.embedder, self.visual = TableStore(spark, folder, ["chunk_id"]), embedder, visual
+
+    def write(self, documents: DataFrame, chunks: DataFrame, regions: DataFrame) -> None:
+        content = chunks.where(~F.coalesce("metadata_only", F.lit(False))) if "metadata_only" in chunks.columns else chunks
+        points = embed_chunks(content, self.embedder, self.visual)
+        self.table.upsert(points.withColumn("point_id", point_id(F.col("chunk_id"))))
+
+
+def default_stores(spark: SparkSession, folder: str, embedder) -> dict:
+    """The four sinks by name, each with ``write(documents, chunks, regions)``."""
+    return dict(zip(SINKS, (DocumentStore(spark, f"{folder}/mongo"), DocumentStore(spark, f"{folder}/postgres"), GraphStore(spark, f"{folder}/neo4j"), VectorStore(spark, f"{folder}/vector", embedder))))
+
+
 def first_of_content(documents: DataFrame, order: str = "source_path") -> DataFrame:
     """One row for each content_hash: the first by ``order``. A partial aggregate, so copies meet as one row a task."""
     columns = [c for c in documents.columns if c != "content_hash"]
@@ -154,14 +305,6 @@ def select_sinks(names: Iterable[str], targets: Iterable[str] | None) -> list[st
     return [n for n in names if n in wanted]
 
 
-@dataclass
-class WriteOutcome:
-    document_id: str
-    sink: str
-    status: str
-    error: str | None
-
-
 MANIFEST = "document_id string, sink string, status string, error string"
 
 
@@ -186,6 +329,27 @@ def write_to_sinks(documents: DataFrame, sinks: dict[str, Callable[[DataFrame],
     return rows if rows is not None else documents.sparkSession.createDataFrame([], MANIFEST)
 
 
+def encode_rows(rows: DataFrame) -> DataFrame:
+    """Nested columns as JSON text, for a store of plain rows: a null array is [], any other null {}."""
+    def cell(f: T.StructField) -> Column:
+        if not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            return F.col(f.name)
+        return F.coalesce(F.to_json(f.name), F.lit("[]" if isinstance(f.dataType, T.ArrayType) else "{}")).alias(f.name)
+
+    return rows.select(*[cell(f) for f in rows.schema])
+
+
+def decode_rows(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """The nested columns of ``schema`` again, from their JSON text; what is null or not JSON is empty."""
+    def cell(f: T.StructField) -> Column:
+        if not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            return F.col(f.name)
+        empty = "[]" if isinstance(f.dataType, T.ArrayType) else "{}"
+        return F.coalesce(F.from_json(F.col(f.name), f.dataType), F.from_json(F.lit(empty), f.dataType)).alias(f.name)
+
+    return rows.select(*[cell(f) for f in schema])
+
+
 def embed_source(chunks: DataFrame, visual: bool = False) -> DataFrame:
     """(chunk_id, embed_kind, embed_input): what of a chunk is embedded: a figure's image if visual
     embedding is on, else its description; the overview of anything else."""
@@ -213,6 +377,4 @@ def embed_chunks(chunks: DataFrame, embedder, visual: bool = False) -> DataFrame
             vectors = pa.array([embedder.embed(t) for t in batch.column(at).to_pylist()], pa.list_(pa.float32()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:at], vectors], [*payload, "vector"])
 
-    from pyspark.sql import types as T
-
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:at], T.StructField("vector", T.ArrayType(T.FloatType()))]))

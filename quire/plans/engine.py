@@ -7,10 +7,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators import chunking, extraction, layout, stores, validation
+from quire.operators import chunking, extraction, layout, metrics, stores, validation
 from quire.providers import RuleExtractor
 from quire.schema import CURRENT_VERSION, ExtractionSchema, stable_id
 from quire.sources import mail, routing, sheets
+from quire.sources.readers import read_pages
 from quire.sources.text import PAGE_CHARS, file_text, paginate
 
 # System text and overview instruction by region type, in short.
@@ -45,32 +46,63 @@ class Result:
     chunks: DataFrame
 
 
-def file_pages(files: DataFrame, page_chars: int = PAGE_CHARS) -> DataFrame:
-    """(document_id, source_path, content_hash, format, page_number, native_text) of routed files. Formats
-    whose readers need libraries that aren't here (PDF, Word, images) give no pages."""
+def file_pages(files: DataFrame, page_chars: int = PAGE_CHARS, readers: dict | None = None) -> DataFrame:
+    """(document_id, source_path, content_hash, format, page_number, native_text, metadata, image, error) of
+    routed files. A file that nothing reads has one row, without page number, that says why."""
     keyed = files.withColumn("document_id", stable_id(F.col("content_hash")))
     names = ["document_id", "source_path", "content_hash", "format"]
-    plain = keyed.where("reader = 'text'").withColumn("text", file_text(F.col("content"), F.col("source_path")))
-    text = paginate(plain.select(*names, "text"), page_chars=page_chars)
-    head = keyed.select(*names)
-    mails = mail.mail_pages(keyed.where("reader = 'email' and source_path not like '%.msg'"), page_chars).select("source_path", "page_number", "native_text")
-    books = sheets.sheet_pages(keyed.where("reader = 'excel' and source_path not like '%.xls'")).select("source_path", "page_number", "native_text")
-    return text.unionByName(head.join(mails.unionByName(books), "source_path").select(text.columns))
+    own = [r for r in (readers or {}) if r.startswith(".")]  # a caller's reader for a suffix comes first
+    spark_side = lambda name, *but: (F.col("reader") == name) & ~routing.suffix(F.col("source_path")).isin(*but, *own)
+    plain = keyed.where(spark_side("text", "")).withColumn("text", file_text(F.col("content"), F.col("source_path")))
+    told = ["source_path", "page_number", "native_text", "metadata"]
+    text = paginate(plain.select("source_path", "text"), page_chars=page_chars).withColumn("metadata", F.lit(None).cast("map<string,string>"))
+    mails = mail.mail_pages(keyed.where(spark_side("email", ".msg")), page_chars)
+    sheet = F.create_map(F.lit("sheet"), "sheet", F.lit("headers"), F.to_json("headers"), F.lit("rows"), F.to_json("rows"), F.lit("markdown"), "markdown")
+    books = sheets.sheet_pages(keyed.where(spark_side("excel", ".xls"))).withColumn("metadata", sheet)
+    native = text.select(told).unionByName(mails.select(told)).unionByName(books.select(told))
+    pages = native.withColumns({"image": F.lit(None).cast("binary"), "error": F.lit(None).cast("string")}).unionByName(read_pages(keyed, readers))
+    why = F.when(F.col("page_number").isNull(), F.coalesce("error", F.concat(F.lit("no pages from a file of format "), F.col("format"))))
+    return keyed.select(names).join(pages, "source_path", "left").select(*names, "page_number", "native_text", "metadata", "image", why.alias("error"))
 
 
 class Pipeline:
-    """The whole way from files or texts to chunks; providers and sinks are plugged in."""
+    """The whole way from files or texts to chunks and stores; providers and sinks are plugged in.
 
-    def __init__(self, config: Config | None = None, extractor=None, sinks: dict | None = None):
+    ``detector`` finds the regions of pages that have an image, ``steps`` cleans the images up before, ``cropper``
+    cuts regions out; pages without image have the regions of their text. ``sinks``: by name, objects with
+    ``write(documents, chunks, regions)`` (see stores.default_stores) or functions of the documents. ``manifest``: a
+    TableStore by document_id and sink that keeps what became of each write.
+    """
+
+    def __init__(self, config: Config | None = None, extractor=None, sinks: dict | None = None, readers: dict | None = None, detector=None, steps=None, cropper=None, manifest: stores.TableStore | None = None):
         self.config, self.extractor, self.sinks = config or Config(), extractor or RuleExtractor(), sinks or {}
+        self.readers, self.detector, self.steps, self.cropper, self.manifest = readers, detector, steps, cropper, manifest
+        self.timings = metrics.Timings()
+
+    def regions(self, pages: DataFrame) -> DataFrame:
+        """Regions in reading order: by the detector and XY cuts where there is an image, else by the text."""
+        c = self.config
+        seen = layout.virtual_regions(pages if self.detector is None or "image" not in pages.columns else pages.where("image is null"))
+        if self.detector is not None and "image" in pages.columns:
+            drawn = pages.where("image is not null")
+            drawn = drawn if self.steps is None else stores.write_and_read(layout.preprocess(drawn, self.steps))
+            found = stores.write_and_read(layout.detect_regions(drawn, self.detector))
+            found = layout.xy_cut_order(found).withColumn("text", F.lit(""))
+            if self.cropper is not None:
+                found = layout.crop_regions(found, drawn, self.cropper)
+            seen = seen.unionByName(found, allowMissingColumns=True)
+        crop = layout.crop_path(F.lit(c.crop_store), F.col("document_id"), F.col("page_number"), F.col("region_index"), F.col("region_type"))
+        return seen.withColumns({"cropped_image_path": crop, "region_id": stable_id(F.col("document_id"), F.col("page_number"), F.col("region_index")), "schema_version": F.lit(CURRENT_VERSION)})
 
     def run(self, pages: DataFrame, schema: ExtractionSchema | None = None, stored: DataFrame | None = None) -> Result:
-        """``pages`` as file_pages gives them; documents whose content is ``stored`` are left out first."""
+        """``pages`` as file_pages gives them; documents whose content is ``stored`` are left out first. A
+        document without pages is kept, for review, with the reason in error."""
         c = self.config
         pages = stores.write_and_read(pages if stored is None else stores.unseen(pages, stored))
-        regions = layout.virtual_regions(pages)
-        crop = layout.crop_path(F.lit(c.crop_store), F.col("document_id"), F.col("page_number"), F.col("region_index"), F.col("region_type"))
-        regions = regions.withColumns({"cropped_image_path": crop, "region_id": stable_id(F.col("document_id"), F.col("page_number"), F.col("region_index")), "schema_version": F.lit(CURRENT_VERSION)})
+        read = pages.where("page_number is not null")
+        regions = self.regions(read)
+        if self.cropper is not None:
+            regions = stores.write_and_read(regions)
         chunks = chunking.chunk_regions(regions, c.max_text_chars)
         asked = chunks.withColumn("prompt", extraction.prompt(F.col("content_type"), c.prompts, c.suffix, schema))
         call = lambda rows: extraction.call_model(rows, self.extractor, concurrency=c.concurrency)
@@ -78,22 +110,45 @@ class Pipeline:
         checked = validation.validate_and_correct(call(content), call, c.rules, c.max_passes)
         filled = extraction.populate(checked)
         bare = asked.where("metadata_only").withColumns({"confidence_score": F.lit(0.0), "correction_applied": F.lit(False)})
-        chunks = filled.unionByName(bare, allowMissingColumns=True).drop("prompt", "failed", "passes").withColumn("schema_version", F.lit(CURRENT_VERSION))
+        chunks = filled.unionByName(bare, allowMissingColumns=True).drop("prompt", "failed").withColumn("schema_version", F.lit(CURRENT_VERSION))
         chunks = stores.write_and_read(chunks)
         chunks = chunks.join(chunking.page_break_context(chunks), "chunk_id", "left")
         status = extraction.document_status(chunks)
-        documents = pages.groupBy("document_id", "content_hash", "format").agg(F.min("source_path").alias("source_path"), F.max("page_number").alias("total_pages"))
-        documents = documents.join(status, "document_id", "left").withColumn("processing_status", F.coalesce("processing_status", F.lit("complete"))).withColumn("schema_version", F.lit(CURRENT_VERSION))
+        error = F.max("error") if "error" in pages.columns else F.lit(None).cast("string")
+        documents = pages.groupBy("document_id", "content_hash", "format").agg(F.min("source_path").alias("source_path"), F.max("page_number").alias("total_pages"), error.alias("error"))
+        state = F.when(F.col("error").isNotNull(), "review_required").otherwise(F.coalesce("processing_status", F.lit("complete")))
+        documents = documents.join(status, "document_id", "left").withColumns({"processing_status": state, "schema_version": F.lit(CURRENT_VERSION)})
         return Result(documents, pages, regions, chunks)
 
+    def write(self, result: Result, targets: list[str] | None = None, only_failed: DataFrame | None = None) -> DataFrame:
+        """Documents, chunks, regions, graph and vectors to the sinks; the manifest, which is kept too."""
+        chunks, regions = stores.write_and_read(result.chunks), stores.write_and_read(result.regions.drop("crop"))
+
+        def adapt(sink):
+            if not hasattr(sink, "write"):
+                return sink
+            return lambda docs: sink.write(docs, *(t.join(docs.select("document_id"), "document_id", "left_semi") for t in (chunks, regions)))
+
+        told = stores.write_to_sinks(result.documents, {n: adapt(s) for n, s in self.sinks.items()}, targets, only_failed)
+        if self.manifest is not None:
+            told = stores.write_and_read(told)
+            self.manifest.upsert(told)
+        return told
+
 
 def ingest(spark: SparkSession, paths: list[str], schema: ExtractionSchema | None = None, targets: list[str] | None = None, pipeline: Pipeline | None = None, stored: DataFrame | None = None) -> DataFrame:
-    """Ingest files and write to the pipeline's sinks; (document_id, processing_status), and the manifest's
-    outcome where there are sinks."""
+    """Ingest files and write to the pipeline's sinks; (document_id, processing_status) of each content, those that
+    are ``stored`` already (document_id, content_hash, processing_status) with the status they have there."""
     pipeline = pipeline or Pipeline()
-    files = stores.first_of_content(routing.read_files(spark, *paths))
-    result = pipeline.run(file_pages(files), schema, stored)
-    documents = stores.write_and_read(result.documents)
+    with pipeline.timings.timed("read"):
+        files = stores.first_of_content(routing.read_files(spark, *paths))
+        known = None if stored is None else stored.join(files.select("content_hash"), "content_hash", "left_semi").select("document_id", "processing_status")
+        fresh = files if stored is None else stores.unseen(files, stored)
+    with pipeline.timings.timed("extract"):
+        result = pipeline.run(file_pages(fresh, pipeline.config.page_chars, pipeline.readers), schema)
+        result.documents = stores.write_and_read(result.documents)
     if pipeline.sinks:
-        stores.write_to_sinks(documents, pipeline.sinks, targets)
-    return documents.select("document_id", "processing_status")
+        with pipeline.timings.timed("write"):
+            pipeline.write(result, targets)
+    outcome = result.documents.select("document_id", "processing_status")
+    return outcome if known is None else outcome.unionByName(known)

@@ -28,13 +28,44 @@ class Detector(Protocol):
 
 
 class PageReader(Protocol):
-    """For formats without a reader here (PDF, Word, images, .msg): pages of a file as text and image."""
+    """For formats that are read file by file (Word, images; PDF, .msg by a caller's own): text, metadata
+    and image of each page."""
 
-    def pages(self, content: bytes) -> list[tuple[str, bytes | None]]: ...
+    def pages(self, content: bytes, path: str) -> list[tuple[str, dict[str, str], bytes | None]]: ...
+
+
+class ImageSteps(Protocol):
+    """Clean-up of page images, in this order."""
+
+    def deskew(self, image: bytes) -> bytes: ...
+
+    def denoise(self, image: bytes) -> bytes: ...
+
+    def contrast(self, image: bytes) -> bytes: ...
+
+    def enlarge(self, image: bytes, factor: int) -> bytes: ...
+
+
+class Cropper(Protocol):
+    def crop(self, image: bytes, x0: float, y0: float, x1: float, y1: float) -> bytes: ...
+
+
+class Retrying:
+    """An extractor over calls that give (status, body), such as an HTTP service: what is worth another try
+    gets one."""
+
+    def __init__(self, call, sleep=None):
+        self.call, self.sleep = call, sleep
+
+    def answer(self, prompt: str, text: str) -> str:
+        from quire.operators.extraction import with_retry
+
+        return with_retry(lambda: self.call(prompt, text), **({"sleep": self.sleep} if self.sleep else {}))
 
 
 class RuleExtractor:
-    """Answers with the region's own text, its first sentence as overview, and capitalised words as entities."""
+    """Answers with the region's own text, the first 200 characters of its first sentence as overview (an
+    overview is short by its nature; the text stays whole), and capitalised words as entities."""
 
     NAME = re.compile(r"\b[A-Z][a-z]{2,}(?: [A-Z][a-z]{2,})*\b")
 

@@ -32,14 +32,18 @@ def find_package(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share, named by spark.checkpoint.dir; made only where none is set."""
+    """The folder that all executors share, named by spark.checkpoint.dir. Only a local master may do without:
+    then a temporary folder is made."""
     import atexit
     import shutil
     import tempfile
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="quire-")
         atexit.register(shutil.rmtree, base[7:], True)
-        spark.sparkContext.setCheckpointDir(base)
+        context.setCheckpointDir(base)
     return base.rstrip("/")

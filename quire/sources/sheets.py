@@ -72,10 +72,30 @@ def sheets(content: bytes) -> list[dict]:
     return out
 
 
+def readable(content: bytes) -> list[dict] | None:
+    """The sheets, or None for what isn't a workbook."""
+    try:
+        return sheets(content)
+    except (ValueError, KeyError, IndexError, StopIteration, zipfile.BadZipFile, ElementTree.ParseError):
+        return None
+
+
+# Size of a drawn cell in pixels, and how much of its text is drawn.
+CELL_WIDTH, CELL_HEIGHT, CELL_CHARS = 200, 40, 24
+
+
+def sheet_grid(pages: DataFrame) -> DataFrame:
+    """source_path, page_number, row, col, x0, y0, x1, y1, text: how a sheet is drawn, its header row first."""
+    rows = F.concat(F.array("headers"), "rows")
+    cells = pages.select("source_path", "page_number", F.posexplode(rows).alias("row", "cells")).select("source_path", "page_number", "row", F.posexplode("cells").alias("col", "value"))
+    x, y = F.col("col") * CELL_WIDTH, F.col("row") * CELL_HEIGHT
+    return cells.select("source_path", "page_number", "row", "col", x.alias("x0"), y.alias("y0"), (x + CELL_WIDTH).alias("x1"), (y + CELL_HEIGHT).alias("y1"), F.substring("value", 1, CELL_CHARS).alias("text"))
+
+
 def workbook(content: Column) -> Column:
     @F.pandas_udf(SHEET)
     def run(contents: pd.Series) -> pd.Series:
-        return contents.map(lambda c: None if c is None else sheets(bytes(c)))
+        return contents.map(lambda c: None if c is None else readable(bytes(c)))
 
     return run(content)
 

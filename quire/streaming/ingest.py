@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.operators.stores import TableStore, first_of_content, unseen
+from quire.operators.stores import TableStore, first_of_content, unseen, write_and_read
 
 
 def source(spark: SparkSession, folder: str, schema: T.StructType | str, files_per_batch: int = 1) -> DataFrame:
@@ -25,12 +25,14 @@ def start(stream: DataFrame, store: TableStore, checkpoint: str, process: Callab
     """
 
     def batch(rows: DataFrame, number: int) -> None:
-        stored = store.read()
+        first = write_and_read(first_of_content(rows))
+        stored = store.matching(first)  # only the buckets of this batch's keys
         done = None if stored is None else stored.where("processing_status <> 'processing'")
-        new = unseen(first_of_content(rows), done).withColumn("processing_status", F.lit("processing"))
+        new = write_and_read(unseen(first, done).withColumn("processing_status", F.lit("processing")))
+        if new.isEmpty():
+            return
         store.upsert(new)
-        current = store.read().where("processing_status = 'processing'")
-        outcome = process(current) if process else current.withColumn("processing_status", F.lit("complete"))
+        outcome = process(new) if process else new.withColumn("processing_status", F.lit("complete"))
         store.upsert(outcome)
 
     writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)

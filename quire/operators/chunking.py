@@ -34,19 +34,22 @@ def merge_groups(kinds_and_lengths: Column, limit: int = MAX_TEXT_CHARS) -> Colu
 def chunk_regions(regions: DataFrame, limit: int = MAX_TEXT_CHARS) -> DataFrame:
     """Chunks of regions (document_id, page_number, region_index, region_type, text, cropped_image_path).
 
-    The fold runs over the regions of one page, so its arrays are bounded by the page; numbers over the
-    document come from a window. One shuffle by document serves all of it.
+    The fold runs over the regions of one page, so its arrays are bounded by the page, and pages are what is
+    dealt out. Numbers over the document are the page's own plus what the pages before it hold, one row a page.
     """
     page = ["document_id", "page_number"]
-    rows = regions.repartition("document_id").select(*page, "region_index", "region_type", F.coalesce("text", F.lit("")).alias("text"), "cropped_image_path")
+    rows = regions.select(*page, "region_index", "region_type", F.coalesce("text", F.lit("")).alias("text"), "cropped_image_path")
     whole = rows.groupBy(*page).agg(F.array_sort(F.collect_list(F.struct("region_index", "region_type", "text", "cropped_image_path"))).alias("regions"))
     shapes = F.transform("regions", lambda r: F.struct(r["region_type"].alias("kind"), F.length(r["text"]).alias("length")))
     flat = whole.withColumn("groups", merge_groups(shapes, limit)).select(*page, F.explode(F.arrays_zip("regions", "groups")).alias("x"))
     flat = flat.select(*page, "x.regions.*", F.col("x.groups").alias("grp"))
     parts = F.array_sort(F.collect_list(F.struct("region_index", "text", "cropped_image_path")))
     chunks = flat.where("grp >= 0").groupBy(*page, "grp", F.col("region_type").alias("content_type")).agg(parts.alias("parts"))
-    order = Window.partitionBy("document_id").orderBy("page_number", "grp")
-    chunks = chunks.withColumn("chunk_index", F.row_number().over(order) - 1)
+    # Groups of a page count from 0 without gaps, so the largest tells how many there are.
+    counts = flat.where("grp >= 0").groupBy(*page).agg((F.max("grp") + 1).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("document_id").orderBy("page_number").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select(*page, F.coalesce(before, F.lit(0)).cast("int").alias("__before"))
+    chunks = chunks.join(counts, page).withColumn("chunk_index", F.col("__before") + F.col("grp")).drop("__before")
     captions = _captions(flat)
     joined = chunks.join(captions, [*page, "grp"], "left")
     return joined.select(

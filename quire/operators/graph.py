@@ -43,15 +43,18 @@ def entity_chunks(mentions_: DataFrame, text: str, kind: str | None = None, dept
     """(chunk_id) reached from an entity over at most ``depth`` mention edges in either direction, no edge
     twice. The graph has two sides, so chunks lie at odd distances: each two further edges add the chunks
     that share an entity with those found. Each step joins the new chunks only."""
+    from quire.operators.stores import write_and_read
+
     start = mentions_.where(F.col("text") == text)
     if kind is not None:
         start = start.where(F.col("type") == kind)
-    found = start.select("chunk_id").distinct()
-    front, used = found, start.select("text", "type").distinct()
+    found = front = write_and_read(start.select("chunk_id").distinct())
+    used = start.select("text", "type").distinct()
     for _ in range(3, depth + 1, 2):
-        new = mentions_.join(front, "chunk_id", "left_semi").select("text", "type").distinct().join(used, ["text", "type"], "left_anti")
-        reached = mentions_.join(new, ["text", "type"], "left_semi").select("chunk_id").distinct().join(found, "chunk_id", "left_anti")
-        found, used, front = found.unionByName(reached), used.unionByName(new), reached
+        # Each step is written, so the next one's plan starts from tables.
+        new = write_and_read(mentions_.join(front, "chunk_id", "left_semi").select("text", "type").distinct().join(used, ["text", "type"], "left_anti"))
+        front = write_and_read(mentions_.join(new, ["text", "type"], "left_semi").select("chunk_id").distinct().join(found, "chunk_id", "left_anti"))
+        found, used = found.unionByName(front), used.unionByName(new)
     return found
 
 

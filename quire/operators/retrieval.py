@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from quire.functions.jsonpath import path_exists
 from quire.functions.vectors import cosine_literal
 from quire.operators import graph
+from quire.schema import CURRENT_VERSION, ENTITY
 
 LIMIT = 50
 
@@ -151,12 +152,44 @@ def query_terms(text: str) -> list[str]:
     return sorted(set(re.findall(r"[a-z0-9]+", text.lower())))
 
 
+# Endings of English words and what a stem has in their place, the first that fits.
+ENDINGS = (("ies", "y"), ("sses", "ss"), ("ings", ""), ("ing", ""), ("edly", ""), ("ed", ""), ("ly", ""), ("es", ""), ("s", ""))
+STEM_CHARS = 3
+
+
+def stem(word: Column) -> Column:
+    """A light stem: one ending goes where three letters or more are left; words in ss and us stay."""
+    out = word
+    for ending, instead in reversed(ENDINGS):
+        fits = F.endswith(word, F.lit(ending)) & (F.length(word) >= STEM_CHARS + len(ending)) & ~F.endswith(word, F.lit("ss")) & ~F.endswith(word, F.lit("us"))
+        out = F.when(fits, F.concat(F.substring(word, F.lit(1), F.length(word) - len(ending)), F.lit(instead))).otherwise(out)
+    return out
+
+
+def stem_word(word: str) -> str:
+    if word.endswith(("ss", "us")):
+        return word
+    return next((word[: -len(e)] + x for e, x in ENDINGS if word.endswith(e) and len(word) >= STEM_CHARS + len(e)), word)
+
+
+def with_tokens(rows: DataFrame, text: str = "overview", name: str = "tokens") -> DataFrame:
+    """Rows with the stems of their text, to be stored beside it: a search then doesn't read the text."""
+    return rows.withColumn(name, F.transform(terms(F.coalesce(text, F.lit(""))), stem))
+
+
 def text_score(text: Column, query: str) -> Column:
     """How often the query's terms stand in a text, in all; terms are alternatives."""
     wanted = query_terms(query)
     if not wanted:
         return F.lit(0)
-    return F.size(F.filter(terms(F.coalesce(text, F.lit(""))), lambda t: t.isin(*wanted)))
+    # Words of letters and digits, counted in place: no array of the text's words is made.
+    return F.regexp_count(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"(?<![a-z0-9])(?:{'|'.join(wanted)})(?![a-z0-9])"))
+
+
+def token_score(tokens: Column, query: str) -> Column:
+    """The same by stored stems, with the query's terms stemmed too."""
+    wanted = sorted({stem_word(t) for t in query_terms(query)})
+    return F.size(F.filter(tokens, lambda t: t.isin(*wanted))) if wanted else F.lit(0)
 
 
 def documents_query(chunks: DataFrame, filters: dict[str, Any] | None = None, full_text: str | None = None, content_types: list[str] | None = None, document_id: str | None = None, min_confidence: float | None = None, text_col: str = "overview") -> DataFrame:
@@ -167,14 +200,17 @@ def documents_query(chunks: DataFrame, filters: dict[str, Any] | None = None, fu
     built_in |= {"confidence_score"} if min_confidence is not None else set()
     own = {k: v for k, v in (filters or {}).items() if k not in built_in}
     found = keep(chunks.where(compile_filter(own)), common_filters(content_types, document_id, min_confidence))
-    return found.where(text_score(F.col(text_col), full_text) > 0) if full_text else found
+    if not full_text:
+        return found
+    return found.where((token_score(F.col("tokens"), full_text) if "tokens" in chunks.columns else text_score(F.col(text_col), full_text)) > 0)
 
 
 def fulltext_rank(rows: DataFrame, query: str, key: str, text: str, k: int) -> DataFrame:
-    """(key, score, rank) of the k best by term count, ties by key."""
+    """(key, score, rank) of the k best by term count, ties by key; by stems where ``rows`` have tokens."""
     from pyspark.sql import Window
 
-    scored = rows.select(key, text_score(F.col(text), query).alias("score")).where("score > 0")
+    count = token_score(F.col("tokens"), query) if "tokens" in rows.columns else text_score(F.col(text), query)
+    scored = rows.select(key, count.alias("score")).where("score > 0")
     top = scored.orderBy(F.col("score").desc(), key).limit(k)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.col("score").desc(), key)))
 
@@ -197,6 +233,13 @@ def vector_search(rows: DataFrame, query: list[float], key: str, k: int, skip: i
     return vector_scores(rows, query, vector, min_score, tests).orderBy(F.col("similarity_score").desc(), key).offset(skip).limit(k)
 
 
+def partial_chunks(points: DataFrame) -> DataFrame:
+    """Chunks as far as a vector's payload tells them, with what it lacks empty."""
+    have = set(points.columns)
+    empty = {"raw_text": F.lit(""), "entities": F.array().cast(f"array<{ENTITY}>"), "correction_applied": F.lit(False), "reading_order_index": F.lit(0), "schema_version": F.lit(CURRENT_VERSION)}
+    return points.select("*", *[v.alias(k) for k, v in empty.items() if k not in have])
+
+
 def metadata_tests(metadata_filter: dict[str, Any] | None) -> list[Column]:
     return [F.col(k) == F.lit(v) for k, v in (metadata_filter or {}).items()]
 

@@ -51,7 +51,7 @@ class Retrieval:
 
     def vector(self, query_text: str, metadata_filter: dict[str, Any] | None = None, content_types: list[str] | None = None, document_id: str | None = None, min_score: float | None = None, limit: int = TOP, cursor: str | None = None, count: bool = False) -> Page:
         """Nearest payloads by cosine; pages by offset."""
-        found = self._scored(query_text, metadata_filter, content_types, document_id, min_score)
+        found = retrieval.partial_chunks(self._scored(query_text, metadata_filter, content_types, document_id, min_score))
         return retrieval.offset_page(found, [F.col("similarity_score").desc(), "chunk_id"], limit, cursor, count)
 
     def graph(self, start_entity: str | None = None, entity_type: str | None = None, depth: int = 1, sql: str | None = None, document_id: str | None = None, limit: int = LIMIT, cursor: str | None = None) -> Page:

@@ -25,6 +25,17 @@ parts AS (SELECT document_id, page_number, min(line) AS line, min(top) AS top, s
   FROM marked WHERE tab OR {STRIP.format('text')} <> '' GROUP BY document_id, page_number, CASE WHEN tab THEN -1000000 - run ELSE line END, tab),
 regions AS (SELECT document_id, page_number, CAST(row_number() OVER (PARTITION BY document_id, page_number ORDER BY line) - 1 AS INT) AS region_index,
   CASE WHEN tab THEN 'table' ELSE 'text' END AS region_type, text, CAST(120 + 36 * top AS DOUBLE) AS y0, CAST(120 + 36 * top + 36 * rows_ AS DOUBLE) AS y1 FROM parts)"""
+FOLD = f"""fold AS (
+  SELECT document_id, page_number, region_index, region_type, text, 0 AS grp, CASE WHEN region_type = 'text' THEN length(text) ELSE -1 END AS held FROM regions WHERE region_index = 0
+  UNION ALL
+  SELECT r.document_id, r.page_number, r.region_index, r.region_type, r.text,
+    CASE WHEN r.region_type = 'text' AND f.held >= 0 AND f.held + length(r.text) <= 1500 THEN f.grp ELSE f.grp + 1 END,
+    CASE WHEN r.region_type <> 'text' THEN -1 WHEN f.held >= 0 AND f.held + length(r.text) <= 1500 THEN f.held + length(r.text) ELSE length(r.text) END
+  FROM fold f JOIN regions r ON r.document_id = f.document_id AND r.page_number = f.page_number AND r.region_index = f.region_index + 1),
+c AS (SELECT document_id, page_number, grp, any_value(region_type) AS content_type, {STRIP.format("string_agg(text, ' ' ORDER BY region_index)")} AS raw_text, CAST(count(*) AS INT) AS n_regions, page_number || '/' || min(region_index) AS cropped_image_path FROM fold GROUP BY document_id, page_number, grp)"""
+#: Each content once, under its hash.
+ONCE = "once AS (SELECT sha256(text) AS doc_id, any_value(text) AS text, min(CAST(doc_id AS VARCHAR)) AS source_path FROM documents GROUP BY text)"
+PAGES_ONCE, LINES_ONCE = (x.replace("FROM documents, unnest", "FROM once, unnest") for x in (PAGES, LINES))
 CHUNKS = f"""q AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id),
 chunks AS (SELECT printf('%012d', d.doc_id) AS chunk_id, d.doc_id, source AS document_id, {KIND.replace('doc_id', 'd.doc_id')} AS content_type, text AS overview,
   coalesce(CAST(quality AS DOUBLE), 0.5) AS confidence_score, d.doc_id AS reading_order_index FROM documents d LEFT JOIN q ON d.doc_id = q.doc_id)"""
@@ -81,7 +92,7 @@ def _histogram(value: str, source: str, buckets: tuple[float, ...], label: str =
 
 
 def oracle_sql() -> dict[str, str]:
-    entity = ENTITY_TEXT + "ent"
+    entity = ENTITY_TEXT
     turn_tables = rf"""c AS (SELECT conv_id AS document_id, turn AS page_number, CASE WHEN role = 'system' THEN 'text' ELSE 'table' END AS kind, right(text, 200) AS ending, conv_id || '-' || turn AS chunk_id FROM conversations),
 k AS (SELECT a.*, a.kind = 'table' AND coalesce(b.kind = 'table', false) AND NOT regexp_matches(coalesce(b.ending, ''), '(?i)\b(total|grand total|subtotal|sum|average)\b') AS is_continuation
   FROM c a LEFT JOIN c b ON a.document_id = b.document_id AND a.page_number = b.page_number + 1)"""
@@ -103,15 +114,33 @@ k AS (SELECT a.*, a.kind = 'table' AND coalesce(b.kind = 'table', false) AND NOT
         "resolution_guard": "SELECT p_partkey, round(p_size * 60 * 300 / 3508.0::DOUBLE, 6) AS dpi, CASE WHEN p_size * 60 * 300 / 3508.0::DOUBLE < 150 THEN 2 ELSE 1 END AS factor FROM part",
         "skew_angle": "SELECT l_suppkey AS page_id, coalesce(-median(CASE WHEN abs(l_quantity - 25.5) < 5 THEN l_quantity - 25.5 END), 0.0) AS rotation FROM lineitem GROUP BY l_suppkey",
         "chunk_merge": f"""WITH RECURSIVE {LINES},
-fold AS (
-  SELECT document_id, page_number, region_index, region_type, text, 0 AS grp, CASE WHEN region_type = 'text' THEN length(text) ELSE -1 END AS held FROM regions WHERE region_index = 0
-  UNION ALL
-  SELECT r.document_id, r.page_number, r.region_index, r.region_type, r.text,
-    CASE WHEN r.region_type = 'text' AND f.held >= 0 AND f.held + length(r.text) <= 1500 THEN f.grp ELSE f.grp + 1 END,
-    CASE WHEN r.region_type <> 'text' THEN -1 WHEN f.held >= 0 AND f.held + length(r.text) <= 1500 THEN f.held + length(r.text) ELSE length(r.text) END
-  FROM fold f JOIN regions r ON r.document_id = f.document_id AND r.page_number = f.page_number AND r.region_index = f.region_index + 1),
-c AS (SELECT document_id, page_number, grp, any_value(region_type) AS content_type, {STRIP.format("string_agg(text, ' ' ORDER BY region_index)")} AS raw_text, CAST(count(*) AS INT) AS n_regions, page_number || '/' || min(region_index) AS cropped_image_path FROM fold GROUP BY document_id, page_number, grp)
+{FOLD}
 SELECT document_id, page_number, CAST(row_number() OVER (PARTITION BY document_id ORDER BY page_number, grp) - 1 AS INT) AS chunk_index, content_type, raw_text, n_regions, cropped_image_path FROM c""",
+        "stored_documents": f"WITH {ONCE}, {PAGES_ONCE} SELECT document_id, document_id AS content_hash, any_value(source_path) AS source_path, max(page_number) AS total_pages, 'complete' AS processing_status FROM pages_ JOIN once ON document_id = doc_id GROUP BY document_id",
+        "stored_chunks": f"""WITH RECURSIVE {ONCE}, {LINES_ONCE},
+{FOLD}
+SELECT document_id, page_number, CAST(row_number() OVER (PARTITION BY document_id ORDER BY page_number, grp) - 1 AS INT) AS chunk_index, content_type, raw_text, 1.0::DOUBLE AS confidence_score FROM c""",
+        "stored_regions": f"WITH {ONCE}, {LINES_ONCE} SELECT document_id, page_number, region_index, region_type, y0, y1 FROM regions",
+        "stored_graph": f"""WITH RECURSIVE {ONCE}, {LINES_ONCE},
+{FOLD},
+n AS (SELECT (SELECT count(*) FROM once) AS d, (SELECT count(*) FROM c) AS k, (SELECT count(*) FROM regions) AS r, (SELECT count(DISTINCT document_id) FROM c) AS f)
+SELECT unnest(['documents', 'chunks', 'regions', 'has_chunk', 'has_region', 'next_chunk']) AS kind, unnest([d, k, r, k, r, k - f]) AS n FROM n""",
+        "stored_vectors": f"""WITH RECURSIVE {ONCE}, {LINES_ONCE},
+{FOLD},
+k AS (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY page_number, grp) - 1 AS i FROM c)
+SELECT sha256(document_id || '|' || page_number || '|' || i) AS chunk_id, document_id, content_type, page_number, 64 AS dim FROM k""",
+        "stem_rank": r"""WITH t AS (SELECT doc_id, list_transform(list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda w: w <> ''), lambda w: CASE WHEN regexp_matches(w, '(ss|us)$') THEN w
+  WHEN regexp_matches(w, '.{3}ies$') THEN w[:-4] || 'y' WHEN regexp_matches(w, '.{3}sses$') THEN w[:-3] WHEN regexp_matches(w, '.{3}ings$') THEN w[:-5] WHEN regexp_matches(w, '.{3}ing$') THEN w[:-4] WHEN regexp_matches(w, '.{3}edly$') THEN w[:-5]
+  WHEN regexp_matches(w, '.{3}ed$') THEN w[:-3] WHEN regexp_matches(w, '.{3}ly$') THEN w[:-3] WHEN regexp_matches(w, '.{3}es$') THEN w[:-3] WHEN regexp_matches(w, '.{3}s$') THEN w[:-2] ELSE w END) AS l FROM documents),
+s AS (SELECT doc_id, CAST(len(list_filter(l, lambda w: w IN ('licens', 'reserv'))) AS INT) AS score FROM t)
+SELECT doc_id, score, CAST(row_number() OVER (ORDER BY score DESC, doc_id) AS INT) AS rank FROM s WHERE score > 0 ORDER BY score DESC, doc_id LIMIT 50""",
+        "json_contained": "SELECT doc_id FROM documents WHERE lang = 'de' AND source = 'src1'",
+        "json_path_or": "SELECT event_id FROM events WHERE json_valid(props) AND (CAST(json_extract(props, '$.k') AS DOUBLE) > 90 OR NOT coalesce(CAST(json_extract(props, '$.k') AS DOUBLE) >= 10, false))",
+        "dedup_hit_count": _with(HASHED, "SELECT CAST(sum(n - CASE WHEN known THEN 0 ELSE 1 END) AS BIGINT) AS n FROM (SELECT count(*) AS n, bool_or(doc_id % 2 = 0) AS known FROM h GROUP BY content_hash)"),
+        "sheet_grid_cells": _with(
+            f"{PARSED}, g AS (SELECT doc_id, list_concat([headers], rows_) AS g FROM parsed), r AS (SELECT doc_id, i - 1 AS row, g[i] AS cells FROM g, unnest(range(1, len(g) + 1)) AS t(i))",
+            "SELECT doc_id, CAST(row AS INT) AS row, CAST(j - 1 AS INT) AS col, CAST((j - 1) * 200 AS INT) AS x0, CAST(row * 40 AS INT) AS y0, CAST(j * 200 AS INT) AS x1, CAST((row + 1) * 40 AS INT) AS y1, substr(cells[j], 1, 24) AS text FROM r, unnest(range(1, len(cells) + 1)) AS t(j)",
+        ),
         "caption_attach": f"""WITH i AS (SELECT conv_id, turn, role, {STRIP.format('text')} AS text, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS anchor FROM conversations)
 SELECT conv_id, anchor, string_agg(text, ' ' ORDER BY turn) AS caption FROM i WHERE role = 'assistant' AND anchor IS NOT NULL AND text <> '' GROUP BY conv_id, anchor""",
         "page_break_bridge": _with(

@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.functions.jsonpath import path_exists
+from quire.functions.jsonpath import json_contains, path_exists
 
 from quire.operators import chunking, extraction, fusion, graph, layout, metrics, retrieval, stores, tables, validation
 from quire.plans.engine import PROMPTS, Pipeline
 from quire.schema import ENTITY, ExtractionSchema, adapt_chunks
 from quire.session import shared_folder
-from quire.sources import mail, routing
+from quire.providers import HashEmbedder
+from quire.sources import mail, routing, sheets
 from quire.sources.text import csv_text, html_text, paginate
 
 SUFFIXES = (".pdf", ".DOCX", ".doc", ".jpeg", ".txt", ".html", ".csv", ".md", ".xlsx", ".eml", ".json", "")
 PAGE_AREA = 595.0 * 842.0
 QUERY_TEXT = "the license of that idiot clown"
-ENTITY_TEXT = "Than"
+ENTITY_TEXT = "Eriner"
 KINDS = ("text", "table", "figure", "formula")
 
 
@@ -273,7 +275,9 @@ def completion_content(spark, sf_dir):
 def validate_rules(spark, sf_dir):
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     docs = documents(spark, sf_dir).join(labels, "doc_id", "left")
-    answer = docs.select("doc_id", _kind(F.col("doc_id")).alias("kind"), F.when(F.col("quality") == 1, F.col("source")).otherwise(" ").alias("overview"), F.when(F.col("lang") == "en", F.col("text")).alias("latex"), tables.parse_markdown(F.col("text")).alias("t"))
+    kind = _kind(F.col("doc_id"))
+    parsed = tables.parse_markdown(F.when(kind == "table", F.col("text")))  # only tables are asked about rows
+    answer = docs.select("doc_id", kind.alias("kind"), F.when(F.col("quality") == 1, F.col("source")).otherwise(" ").alias("overview"), F.when(F.col("lang") == "en", F.col("text")).alias("latex"), parsed.alias("t"))
     answer = answer.select("doc_id", "kind", "overview", "latex", "t.headers", "t.rows")
     return answer.select("doc_id", F.array_join(validation.failing(F.col("kind"), F.col), ",").alias("failed"))
 
@@ -415,18 +419,18 @@ def table_row_nodes(spark, sf_dir):
 
 
 def entity_traverse_d1(spark, sf_dir):
-    return graph.entity_chunks(as_mentions(spark, sf_dir), ENTITY_TEXT + "ent", depth=2)
+    return graph.entity_chunks(as_mentions(spark, sf_dir), ENTITY_TEXT, depth=1)
 
 
 def entity_traverse_d3(spark, sf_dir):
-    return graph.entity_chunks(as_mentions(spark, sf_dir), ENTITY_TEXT + "ent", "PERSON", depth=3)
+    return graph.entity_chunks(as_mentions(spark, sf_dir), ENTITY_TEXT, "PERSON", depth=3)
 
 
 def entity_docs(spark, sf_dir):
     docs = documents(spark, sf_dir)
     chunks = docs.select(F.col("doc_id").alias("chunk_id"), F.col("source").alias("document_id"))
     sources = docs.select(F.col("source").alias("document_id")).distinct().withColumn("source_path", F.concat(F.lit("in/"), "document_id"))
-    return graph.entity_documents(as_mentions(spark, sf_dir), chunks, sources, ENTITY_TEXT + "ent")
+    return graph.entity_documents(as_mentions(spark, sf_dir), chunks, sources, ENTITY_TEXT)
 
 
 def traverse_all(spark, sf_dir):
@@ -502,6 +506,64 @@ def ingest_documents(spark, sf_dir):
     return result.chunks.select("chunk_id", "document_id", "page_number", "chunk_index", "content_type", "overview", "confidence_score", "page_break_context")
 
 
+def _ingested(spark, sf_dir, name: str):
+    """All documents through the whole plan and into a sink; the sink."""
+    head = documents(spark, sf_dir).select(F.sha2("text", 256).alias("content_hash"), F.col("doc_id").cast("string").alias("source_path"), F.lit("txt").alias("format"), "text")
+    pages = paginate(stores.first_of_content(head).withColumn("document_id", F.col("content_hash")))
+    pipeline = Pipeline(sinks=stores.default_stores(spark, f"{shared_folder(spark)}/quire/stores-{uuid.uuid4().hex}", HashEmbedder()))
+    pipeline.write(pipeline.run(pages), [name])
+    return pipeline.sinks[name]
+
+
+def stored_documents(spark, sf_dir):
+    return _ingested(spark, sf_dir, "mongo").documents.read().select("document_id", "content_hash", "source_path", "total_pages", "processing_status")
+
+
+def stored_chunks(spark, sf_dir):
+    return _ingested(spark, sf_dir, "postgres").chunks.read().select("document_id", "page_number", "chunk_index", "content_type", "raw_text", "confidence_score")
+
+
+def stored_regions(spark, sf_dir):
+    return _ingested(spark, sf_dir, "mongo").regions.read().select("document_id", "page_number", "region_index", "region_type", F.col("bbox.y0").alias("y0"), F.col("bbox.y1").alias("y1"))
+
+
+def stored_graph(spark, sf_dir):
+    """How many nodes and edges of each kind the graph has."""
+    g = _ingested(spark, sf_dir, "neo4j")
+    kinds = ("documents", "chunks", "regions", "has_chunk", "has_region", "next_chunk")
+    return functools.reduce(DataFrame.unionByName, [getattr(g, k).read().agg(F.count("*").alias("n")).select(F.lit(k).alias("kind"), "n") for k in kinds])
+
+
+def stored_vectors(spark, sf_dir):
+    return _ingested(spark, sf_dir, "vector").table.read().select("chunk_id", "document_id", "content_type", "page_number", F.size("vector").alias("dim"))
+
+
+def stem_rank(spark, sf_dir):
+    """Full text by stored stems."""
+    return retrieval.fulltext_rank(retrieval.with_tokens(documents(spark, sf_dir), "text"), "licenses reserved", "doc_id", "text", 50)
+
+
+def json_contained(spark, sf_dir):
+    rows = documents(spark, sf_dir).select("doc_id", F.to_json(F.struct("lang", "source")).alias("j"))
+    return rows.where(json_contains(F.col("j"), {"lang": "de", "source": "src1"})).select("doc_id")
+
+
+def json_path_or(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "props")
+    return events.where(path_exists(F.col("props"), "$ ? (@.k > 90 || !(@.k >= 10))")).select("event_id")
+
+
+def dedup_hit_count(spark, sf_dir):
+    hashed = documents(spark, sf_dir).select("doc_id", routing.content_hash(F.col("text")).alias("content_hash"))
+    return metrics.dedup_hits(hashed, hashed.where("doc_id % 2 = 0"))
+
+
+def sheet_grid_cells(spark, sf_dir):
+    """Piped documents as sheets: how their cells are drawn."""
+    parsed = _parsed(spark, sf_dir).select(F.col("doc_id").alias("source_path"), F.lit(1).alias("page_number"), "t.headers", "t.rows")
+    return sheets.sheet_grid(parsed).select(F.col("source_path").alias("doc_id"), "row", "col", "x0", "y0", "x1", "y1", "text")
+
+
 QUERIES = (
     doc_content_hash, doc_dedup_survivors, doc_unseen, route_formats, text_paginate, quality_tier, scanned_pages, html_strip, html_strip_visible,
     csv_to_text, mail_pages, virtual_regions, bbox_derived, crop_box_path, xy_cut_order, detector_classes, resolution_guard, skew_angle, chunk_merge,
@@ -511,6 +573,7 @@ QUERIES = (
     fulltext_rank, vector_topk, vector_min_score, vector_filtered, vector_page2, graph_mentions, entity_dedup, next_chunk, chain_order, chain_heads,
     table_row_nodes, entity_traverse_d1, entity_traverse_d3, entity_docs, traverse_all, fused_rrf, fused_sources, fused_representative,
     metrics_by_status, metrics_regions_by_type, confidence_histogram, latency_histogram, stream_ingest_dedup, ingest_documents,
+    stored_documents, stored_chunks, stored_regions, stored_graph, stored_vectors, stem_rank, json_contained, json_path_or, dedup_hit_count, sheet_grid_cells,
 )
 
 

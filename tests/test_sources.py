@@ -135,3 +135,34 @@ def test_json_paths(spark, path, expected):
     got = spark.createDataFrame(list(enumerate(rows)), "i int, t string").select("i", path_exists(F.col("t"), path).alias("x")).orderBy("i").collect()
     assert [r.x for r in got] == expected
     assert one(spark, path_exists(F.lit(None).cast("string"), path)) is False
+
+
+def test_path_grammar():
+    from quire.functions.jsonpath import Path, exists_in
+
+    text = '{"a": [{"b": 1, "t": "xy"}, {"b": 5, "c": {"d": null}}], "n": 2, "odd name": true}'
+    true = ["$.a[1].c.d", "$.a[0,7].b", "$.a[*] ? (@.b > 1).c", "$.a ? (@.b == 1 || @.b == 9)", "$ ? (!(@.n > 2))", "$ ? (exists(@.a.c))", '$.a ? (@.t starts with "x")', '$.a ? (@.t like_regex "y$")', "$.**.d", "$.*", '$."odd name" ? (@ == true)', "$.a ? (@.b > 1 && (@.b < 9 || @.b == 1))", "strict $.a ? (@.b == $.a.b)", "$.a ? (@.c.d == null)"]
+    false = ["$.a[2]", "$.a[*].x", "$.a ? (@.b > 5)", "$ ? (!(@.n >= 2))", '$.a ? (@.t starts with "y")', "$.a ? (@.b == 1 && @.b == 5)", "$.n ? (@ > \"1\")", "$.a ? (@.b == true)"]
+    assert [p for p in true if not exists_in(text, Path(p))] == [] and [p for p in false if exists_in(text, Path(p))] == []
+    for wrong in ("a.b", "$.", "$.a ? (@.b)", "$[x]", "$.a)", "$ ? (@.b ==)"):
+        with pytest.raises(ValueError):
+            Path(wrong)
+
+
+def test_containment(spark):
+    from quire.functions.jsonpath import json_contains
+
+    rows = ['{"a": "x", "b": [1, 2, {"c": "y"}]}', '{"a": 1}', "[1, 2]", "not json", None]
+    frame = spark.createDataFrame(list(enumerate(rows)), "i int, j string")
+    hits = lambda wanted: [r.i for r in frame.where(json_contains(F.col("j"), wanted)).orderBy("i").collect()]
+    assert hits({"a": "x"}) == [0] and hits({"a": 1}) == [1] and hits({"a": "1"}) == [] and hits({"b": [{"c": "y"}, 1]}) == [0]
+    assert hits([2]) == [2] and hits(2) == [2] and hits({}) == [0, 1] and hits({"b": [3]}) == []
+
+
+def test_stems(spark):
+    from quire.operators import retrieval
+
+    words = "licenses License parties classes glass bus running runs red ring quickly added as".split()
+    rows = retrieval.with_tokens(spark.createDataFrame([(1, " ".join(words)), (2, None)], "id int, overview string")).collect()
+    assert rows[0].tokens == [retrieval.stem_word(w.lower()) for w in words] == ["licens", "license", "party", "class", "glass", "bus", "runn", "run", "red", "ring", "quick", "add", "as"]
+    assert rows[1].tokens == []

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
 import re
-import shutil
-import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.session import find_package
+from quire.session import find_package, shared_folder
 
 #: Word patterns of the contracts, in the syntax that Java, RE2 and Python share.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
@@ -32,31 +30,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir of the session.
-
-    Only where none is set (single-machine tests) a temporary folder is made and set.
-    """
-    find_package(spark)
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="quire-")
-        atexit.register(shutil.rmtree, base[7:], True)
-        spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
+    """The folder that driver and executors share: spark.checkpoint.dir of the session."""
+    return shared_folder(find_package(spark))
 
 
 def new_folder(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/quire/{re.sub(r'[^A-Za-z0-9_-]', '_', tag)}-{uuid.uuid4().hex}"
 
 
+_recorded: list[str] | None = None
+
+
+@contextmanager
+def recording():
+    """The folders that ``materialize`` makes inside, for a caller to drop once nothing reads them."""
+    global _recorded
+    before, _recorded = _recorded, []
+    try:
+        yield _recorded
+    finally:
+        _recorded = before
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut and a lost
     executor costs nothing that was computed before this point."""
     spark = df.sparkSession
     path = new_folder(spark, tag)
     df.write.parquet(path)
+    if _recorded is not None:
+        _recorded.append(path)
     return spark.read.schema(nullable(df.schema)).parquet(path)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialize
+from quire.llm.common import drop_folder, materialize, recording
 
 MAX_ROUNDS = 60
 
@@ -28,16 +28,22 @@ def components(links: DataFrame) -> DataFrame:
     Each round is two aggregations and joins over the links, which shrink to one link a node;
     rounds grow with the logarithm of the number of nodes. Each is written to the shared folder.
     """
-    links = materialize(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    spark = links.sparkSession
+    with recording() as last:
+        links = materialize(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     state = _state(links)
     for _ in range(MAX_ROUNDS):
         if not state[0]:
             break
-        both = links.select(F.col("a").alias("hub"), F.col("b").alias("leaf")).union(links.select(F.col("b").alias("hub"), F.col("a").alias("leaf")))
-        large = materialize(_star(both).where("leaf > hub").select(F.col("leaf").alias("hub"), F.col("m").alias("leaf")).distinct(), "links")
-        small = _star(large)
-        moved = small.select(F.col("leaf").alias("a"), F.col("m").alias("b")).union(small.select(F.col("hub").alias("a"), F.col("m").alias("b")))
-        links = materialize(moved.where("a <> b").distinct(), "links")
+        with recording() as made:
+            both = links.select(F.col("a").alias("hub"), F.col("b").alias("leaf")).union(links.select(F.col("b").alias("hub"), F.col("a").alias("leaf")))
+            large = materialize(_star(both).where("leaf > hub").select(F.col("leaf").alias("hub"), F.col("m").alias("leaf")).distinct(), "links")
+            small = _star(large)
+            moved = small.select(F.col("leaf").alias("a"), F.col("m").alias("b")).union(small.select(F.col("hub").alias("a"), F.col("m").alias("b")))
+            links = materialize(moved.where("a <> b").distinct(), "links")
+        for path in [*last, *made[:-1]]:  # only the newest links are read from here on
+            drop_folder(spark, path)
+        last = made[-1:]
         before, state = state, _state(links)
         if state == before:
             break

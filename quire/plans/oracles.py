@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from quire.operators.chunking import SNIPPET_CHARS
 from quire.operators.metrics import CONFIDENCE, PIPELINE_SECONDS
 from quire.operators.validation import REQUEST, RULES
 from quire.plans.engine import PROMPTS
@@ -91,6 +92,33 @@ def _histogram(value: str, source: str, buckets: tuple[float, ...], label: str =
     return f"SELECT {head}le, count(*) FILTER (WHERE le IS NULL OR {value} <= le) AS n FROM {source}, (VALUES {bounds}) AS b(le) WHERE {value} IS NOT NULL GROUP BY {head}le"
 
 
+def _html(visible: bool) -> str:
+    """Character data by a token pattern: scripts and styles whole, comments, tags, and what lies between them."""
+    tokens = r"(?s)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->|<[!/]?[A-Za-z][^>]*>|[^<]+"
+    html = "regexp_replace(html, '(?s)<head>.*?</head>', '', 'g')" if visible else "html"
+    raw = "NULL" if visible else "regexp_replace(x, '^<[^>]*>|</[a-z]+>$', '', 'g')"
+    plain = "x"
+    for name, char in (("quot", '"'), ("copy", "\u00a9"), ("middot", "\u00b7"), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        plain = f"regexp_replace({plain}, '&{name};?', '{char}', 'g')"
+    return f"""WITH t AS (SELECT page_id, regexp_extract_all({html}, '{tokens}') AS l FROM pages)
+SELECT page_id, array_to_string(list_filter(list_transform(l, lambda x: CASE WHEN regexp_matches(x, '^<s(cript|tyle)') THEN {raw} WHEN x[1] = '<' THEN NULL ELSE {plain} END), lambda x: x <> ''), ' ') AS text FROM t"""
+
+
+def _ingest() -> str:
+    """Chunks of each content with the rule extractor's overview, and the snippets across page breaks."""
+    told = f"coalesce(nullif(regexp_extract(raw_text, '(?s)\\A(.*?[.!?]){WS}', 1), ''), raw_text)"
+    return rf"""WITH RECURSIVE {ONCE}, {LINES_ONCE},
+{FOLD},
+k AS (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY page_number, grp) - 1 AS i FROM c),
+ends AS (SELECT document_id, page_number, min(i) AS a, max(i) AS z, arg_min(raw_text, i) AS first, {RSTRIP.format('arg_max(raw_text, i)')} AS last FROM k WHERE content_type = 'text' GROUP BY document_id, page_number),
+pairs AS (SELECT p.document_id, p.page_number, p.z, n.a, p.last, n.first FROM ends p JOIN ends n ON n.document_id = p.document_id AND n.page_number = p.page_number + 1 WHERE NOT regexp_matches(p.last, '[.!?]\z') AND p.last <> ''),
+fore AS (SELECT document_id, z AS i, '[...continues on page ' || (page_number + 1) || ': ' || substr(first, 1, {SNIPPET_CHARS}) || ']' AS s FROM pairs),
+back AS (SELECT document_id, a AS i, '[...continued from page ' || page_number || ': ' || right(last, {SNIPPET_CHARS}) || ']' AS s FROM pairs)
+SELECT sha256(k.document_id || '|' || page_number || '|' || k.i) AS chunk_id, k.document_id, page_number, CAST(k.i AS INT) AS chunk_index, content_type,
+  coalesce(nullif(substr({told}, 1, 200), ''), 'Empty region.') AS overview, 1.0::DOUBLE AS confidence_score, coalesce(fore.s, back.s) AS page_break_context
+FROM k LEFT JOIN fore ON k.document_id = fore.document_id AND k.i = fore.i LEFT JOIN back ON k.document_id = back.document_id AND k.i = back.i"""
+
+
 def oracle_sql() -> dict[str, str]:
     entity = ENTITY_TEXT
     turn_tables = rf"""c AS (SELECT conv_id AS document_id, turn AS page_number, CASE WHEN role = 'system' THEN 'text' ELSE 'table' END AS kind, right(text, 200) AS ending, conv_id || '-' || turn AS chunk_id FROM conversations),
@@ -105,6 +133,8 @@ k AS (SELECT a.*, a.kind = 'table' AND coalesce(b.kind = 'table', false) AND NOT
         "text_paginate": _with(PAGES, "SELECT * FROM pages_"),
         "quality_tier": _with(PAGES, f"SELECT document_id, round(avg(length({STRIP.format('native_text')}) / {PAGE_AREA}::DOUBLE), 9) AS density, CASE WHEN avg(length({STRIP.format('native_text')}) / {PAGE_AREA}::DOUBLE) < 0.3 THEN 'high_detail' ELSE 'standard' END AS quality_tier FROM pages_ WHERE page_number <= 5 GROUP BY document_id"),
         "scanned_pages": _with(PAGES, f"SELECT document_id, page_number, length({STRIP.format('native_text')}) < 50 AS is_scanned FROM pages_"),
+        "html_strip": _html(False),
+        "html_strip_visible": _html(True),
         "csv_to_text": "SELECT doc_id, 'id, lang, text' || chr(10) || doc_id || ', ' || lang || ', ' || text AS text FROM documents",
         "mail_pages": _with(PAGES, "SELECT CAST(document_id AS VARCHAR) AS source_path, page_number, native_text, 'Document ' || document_id AS subject, CASE WHEN page_number = 1 THEN source || '@example.org' END AS sender FROM pages_ JOIN documents ON document_id = doc_id"),
         "virtual_regions": _with(LINES, "SELECT * FROM regions"),
@@ -116,6 +146,7 @@ k AS (SELECT a.*, a.kind = 'table' AND coalesce(b.kind = 'table', false) AND NOT
         "chunk_merge": f"""WITH RECURSIVE {LINES},
 {FOLD}
 SELECT document_id, page_number, CAST(row_number() OVER (PARTITION BY document_id ORDER BY page_number, grp) - 1 AS INT) AS chunk_index, content_type, raw_text, n_regions, cropped_image_path FROM c""",
+        "ingest_documents": _ingest(),
         "stored_documents": f"WITH {ONCE}, {PAGES_ONCE} SELECT document_id, document_id AS content_hash, any_value(source_path) AS source_path, max(page_number) AS total_pages, 'complete' AS processing_status FROM pages_ JOIN once ON document_id = doc_id GROUP BY document_id",
         "stored_chunks": f"""WITH RECURSIVE {ONCE}, {LINES_ONCE},
 {FOLD}

@@ -17,6 +17,25 @@ def template_pattern(markup: str) -> str:
     return re.sub(r" \{\{[^:}]*:(\d+)\}\}", r"(?: [^ ]+){0,\1}", flat) + " "
 
 
+def _op5() -> str:
+    """Every 100-byte window in hexadecimal, in blocks of 500 starts; windows that share a hash are compared whole."""
+    return """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (SELECT doc_id, o, substr(h, 2 * o + 1, 1198) AS h FROM d, unnest(range(0, greatest(length(h) // 2 - 99, 0), 500)) AS t(o)),
+w AS (SELECT doc_id, o + i AS p, substr(h, 2 * i + 1, 200) AS s FROM b, unnest(range(least(500, length(h) // 2 - 99))) AS t(i)),
+often AS (SELECT hash(s) AS k FROM w GROUP BY hash(s) HAVING count(*) > 1),
+hit AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM w WHERE hash(s) IN (SELECT k FROM often)) WHERE k > 1),
+gone AS (SELECT doc_id, p AS a, p + 100 AS b, CASE WHEN p <= max(p + 100) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM hit),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY a ROWS UNBOUNDED PRECEDING) AS run FROM gone),
+spans AS (SELECT doc_id, min(a) AS a, max(b) AS b FROM numbered GROUP BY doc_id, run),
+edges AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
+cut AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last FROM spans GROUP BY doc_id),
+held AS (SELECT e.doc_id, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS s FROM edges e JOIN d ON e.doc_id = d.doc_id GROUP BY e.doc_id)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(s, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut ON d.doc_id = cut.doc_id LEFT JOIN held ON d.doc_id = held.doc_id"""
+
+
 def _op8() -> str:
     return rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({FOLD}, {ALNUM}) AS w FROM documents),
@@ -70,4 +89,4 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(p) AS BIGINT) AS n_base, C
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_decontamination": _op8(), "op9_chat_format": _op9(), "op10_license_scan": _op10()}
+    return {"op5_suffix_dedup": _op5(), "op8_decontamination": _op8(), "op9_chat_format": _op9(), "op10_license_scan": _op10()}

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import let
 from quire.functions.text import strip
 from quire.operators.tables import looks_like_table, table_from_response
 from quire.schema import CELL, ENTITY, TABLE, ExtractionSchema
@@ -52,7 +53,8 @@ def clean_answer(text: Column) -> Column:
     fenced = F.regexp_replace(F.regexp_replace(bare, r"\A```[^\n]*\n?", ""), r"\n?```\s*\z", "")
     body = strip(F.when(F.startswith(bare, F.lit("```")), fenced).otherwise(bare))
     parsed = F.try_parse_json(body)
-    is_object = F.coalesce(F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT")), F.lit(False))
+    # JSON that begins with a brace is an object; only what begins otherwise needs its schema.
+    is_object = F.when(F.startswith(body, F.lit("{")), parsed.isNotNull()).otherwise(F.coalesce(F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT")), F.lit(False)))
     return F.when(is_object, body).otherwise(F.lit(json.dumps(FALLBACK)))
 
 
@@ -62,16 +64,22 @@ def parse_answer(text: Column) -> Column:
 
 def structured_data(text: Column) -> Column:
     """JSON string: the answer's ``fields`` if it has them, else all its keys that aren't reserved."""
-    body = clean_answer(text)
+    return _structured(clean_answer(text))
+
+
+def _structured(body: Column) -> Column:
     fields = F.get_json_object(body, "$.fields")
-    rest = F.map_filter(F.from_json(body, "map<string,string>"), lambda k, _: ~k.isin(*RESERVED_KEYS))
-    return F.coalesce(fields, F.to_json(rest))
+    rest = F.to_json(F.map_filter(F.from_json(body, "map<string,string>"), lambda k, _: ~k.isin(*RESERVED_KEYS)))
+    # Most answers have reserved keys alone; then the whole needn't be parsed.
+    plain = F.forall(F.json_object_keys(body), lambda k: k.isin(*RESERVED_KEYS))
+    return F.when(plain, "{}").otherwise(F.coalesce(fields, rest))
 
 
 def populate(chunks: DataFrame, answer: str = "answer") -> DataFrame:
     """Chunks with what the model's answer (a string column) says, by content type; a figure whose text
     is a table becomes one. Chunks that are metadata only stay as they are."""
-    found = chunks.withColumn("__a", parse_answer(F.col(answer))).withColumn("__s", structured_data(F.col(answer)))
+    found = chunks.withColumn("__j", let(clean_answer(F.col(answer)), lambda body: F.struct(F.from_json(body, ANSWER).alias("a"), _structured(body).alias("s"))))
+    found = found.withColumns({"__a": F.col("__j.a"), "__s": F.col("__j.s")})
     a, kind = F.col("__a"), F.col("content_type")
     text = F.coalesce(a["text"], a["raw_text"], F.lit(""))
     seen = F.coalesce(F.nullif(a["raw_text"], F.lit("")), a["image_description"], a["description"])
@@ -138,7 +146,7 @@ def call_model(rows: DataFrame, model, prompt_col: str = "prompt", text_col: str
     """Adds ``answer``: the provider's answer to each row's prompt and text.
 
     The provider is any object with ``answer(prompt, text) -> str``; it is sent to the executors, and each
-    task keeps ``concurrency`` calls open. Its answers may differ from call to call, so callers write the
+    task keeps ``concurrency`` calls open; one call if the provider says that it never ``waits``. Its answers may differ from call to call, so callers write the
     result before they branch on it.
     """
     at_prompt, at_text = rows.columns.index(prompt_col), rows.columns.index(text_col)
@@ -149,8 +157,9 @@ def call_model(rows: DataFrame, model, prompt_col: str = "prompt", text_col: str
         import pyarrow as pa
 
         with ThreadPoolExecutor(concurrency) as pool:
+            calls = pool.map if getattr(model, "waits", True) else map
             for batch in batches:
-                answers = list(pool.map(model.answer, batch.column(at_prompt).to_pylist(), batch.column(at_text).to_pylist()))
+                answers = list(calls(model.answer, batch.column(at_prompt).to_pylist(), batch.column(at_text).to_pylist()))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(answers, pa.string())], [*batch.schema.names, "answer"])
 
     from pyspark.sql import types as T

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import let, run_starts, scan
 from quire.functions.text import non_empty
 from quire.schema import BBOX
 
@@ -159,30 +160,48 @@ def detect_regions(pages: DataFrame, detector, min_confidence: float = MIN_CONFI
     return found.select("document_id", "page_number", "region_index", region_type(F.col("class_id")).alias("region_type"), box.alias("bbox"), "detector_confidence")
 
 
+def page_regions(pages: DataFrame) -> DataFrame:
+    """(document_id, page_number, regions) of text pages: the regions of virtual_regions as one array a page, in
+    their order. Pages without text have none, or an empty array. A page's regions come from its row."""
+
+    def pieces(lines: Column) -> Column:
+        rows = F.transform(lines, lambda x: F.greatest(F.ceil(F.length(x) / WRAP_CHARS), F.lit(1)).cast("int"))
+        ends = scan(rows, "int", {"end": F.lit(0)}, lambda s, r: {"end": s["end"] + r}, "end")
+        pipes = F.transform(lines, lambda x: F.contains(x, F.lit("|")))
+
+        def of_runs(ends: Column, pipes: Column, starts: Column) -> Column:
+            def piece(start: Column, after: Column, table: bool) -> Column:
+                return F.struct(start.alias("start"), (after - start).alias("n"), F.coalesce(F.get(ends, start - 2), F.lit(0)).alias("top"), F.get(ends, after - 2).alias("bottom"), F.lit(table).alias("table"))
+
+            def of_run(start: Column, k: Column) -> Column:
+                after = F.coalesce(F.get(starts, k + 1), F.size(lines) + 1)
+                single = F.filter(F.sequence(start, after - 1), lambda i: non_empty(F.get(lines, i - 1)))
+                whole = F.get(pipes, start - 1) & (after - start >= TABLE_LINES)
+                return F.when(whole, F.array(piece(start, after, True))).otherwise(F.transform(single, lambda i: piece(i, i + 1, False)))
+
+            return F.flatten(F.transform(starts, of_run))
+
+        return let(ends, lambda e: let(pipes, lambda p: let(run_starts(p), lambda s: of_runs(e, p, s))))
+
+    def region(lines: Column, p: Column, index: Column) -> Column:
+        y0, y1 = MARGIN + LINE_HEIGHT * p["top"], MARGIN + LINE_HEIGHT * p["bottom"]
+        text = F.when(p["n"] == 1, F.get(lines, p["start"] - 1)).otherwise(F.array_join(F.slice(lines, p["start"], p["n"]), "\n"))
+        return F.struct(
+            index.alias("region_index"), F.when(p["table"], "table").otherwise("text").alias("region_type"), bbox(F.lit(MARGIN), y0, F.lit(PAGE_WIDTH - MARGIN), y1).alias("bbox"),
+            text.alias("text"), F.lit(1.0).alias("detector_confidence"),
+        )
+
+    regions = let(F.split("native_text", "\n", -1), lambda lines: F.transform(pieces(lines), lambda p, i: region(lines, p, i)))
+    return pages.select("document_id", "page_number", regions.alias("regions"))
+
+
 def virtual_regions(pages: DataFrame) -> DataFrame:
     """Regions of text pages (document_id, page_number, native_text), by the geometry of their rendering:
     runs of three or more lines with a pipe are tables, every other line with text is a text region.
 
-    Windows are over the lines of one page, so they are bounded by the page size.
+    One pass without a shuffle: a page is a row.
     """
-    page = ["document_id", "page_number"]
-    lines = pages.select(*page, F.posexplode(F.split("native_text", "\n", -1)).alias("line", "text"))
-    order = Window.partitionBy(*page).orderBy("line")
-    wrapped = F.greatest(F.ceil(F.length("text") / WRAP_CHARS), F.lit(1)).cast("int")
-    lines = lines.withColumn("rows", wrapped).withColumn("pipe", F.contains("text", F.lit("|")))
-    lines = lines.withColumn("top", F.coalesce(F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    starts = F.coalesce((F.lag("pipe").over(order) != F.col("pipe")).cast("int"), F.lit(1))
-    lines = lines.withColumn("run", F.sum(starts).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    lines = lines.withColumn("table", F.col("pipe") & (F.count("*").over(Window.partitionBy(*page, "run")) >= TABLE_LINES))
-    lines = lines.where(F.col("table") | non_empty(F.col("text"))).withColumn("piece", F.when(F.col("table"), -F.col("run")).otherwise(F.col("line")))
-    parts = lines.groupBy(*page, "piece").agg(
-        F.min("line").alias("line"), F.min("top").alias("top"), F.sum("rows").alias("rows"), F.bool_or("table").alias("table"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"]), "\n").alias("text"),
-    )
-    y0 = MARGIN + LINE_HEIGHT * F.col("top")
-    box = bbox(F.lit(MARGIN), y0, F.lit(PAGE_WIDTH - MARGIN), y0 + LINE_HEIGHT * F.col("rows"))
-    index = F.row_number().over(Window.partitionBy(*page).orderBy("line")) - 1
-    return parts.select(*page, index.alias("region_index"), F.when(F.col("table"), "table").otherwise("text").alias("region_type"), box.alias("bbox"), "text", F.lit(1.0).alias("detector_confidence"))
+    return page_regions(pages).select("document_id", "page_number", F.inline("regions"))
 
 
 def widest_gap(spans: list[tuple[float, float]], least: float = GAP) -> float | None:

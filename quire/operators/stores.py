@@ -28,7 +28,7 @@ SINKS = ("mongo", "postgres", "neo4j", "vector")
 def write_and_read(df: DataFrame) -> DataFrame:
     """Fix a table in the shared folder, so what is computed from it doesn't compute it again."""
     path = f"{shared_folder(df.sparkSession)}/quire/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -123,10 +123,11 @@ class TableStore:
 
     def _write(self, rows: DataFrame) -> dict:
         name = f"data/{uuid.uuid4().hex}"
-        writer = rows.withColumn("__bucket", bucket_of(self.keys, self.buckets)).write.partitionBy("__bucket")
+        writer = rows.withColumn("__bucket", bucket_of(self.keys, self.buckets)).write.partitionBy("__bucket").option("compression", "zstd")
         for c in self.bloom:
             if c in rows.columns:
-                writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+                # Adaptive: a filter is as large as its file's values need, not a MB in each of the many files.
+                writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true").option("parquet.bloom.filter.adaptive.enabled", "true").option(f"parquet.bloom.filter.candidates.number#{c}", "10")
         writer.parquet(f"{self.folder}/{name}")
         return {"data": name, "schema": rows.schema.json(), "bytes": self._fs.getContentSummary(self._path(name)).getLength()}
 
@@ -175,9 +176,10 @@ class TableStore:
         inside = [r[0] for r in keys.select(bucket_of(self.keys, self.buckets)).distinct().collect()]  # ``buckets`` numbers at most
         return self._fold(self._entries(), lambda d: d.where(F.col("__bucket").isin(inside)).join(keys, self.keys, "left_semi"))
 
-    def upsert(self, new: DataFrame, order: str | None = None) -> None:
-        """Put rows in by key; of several new rows of a key the last by ``order`` counts (without it: any)."""
-        self._commit(self._write(last_by_key(new, self.keys, order)))
+    def upsert(self, new: DataFrame, order: str | None = None, unique: bool = False) -> None:
+        """Put rows in by key; of several new rows of a key the last by ``order`` counts (without it: any).
+        ``unique``: the caller knows that no two new rows share a key, so they needn't meet."""
+        self._commit(self._write(new if unique else last_by_key(new, self.keys, order)))
         entries = self._entries()
         deltas = [e for e in entries if "covers" not in e]
         base = sum(e["bytes"] for e in entries if "covers" in e)
@@ -213,10 +215,14 @@ class DocumentStore:
         self.chunks = TableStore(spark, f"{folder}/chunks", ["chunk_id"], CHUNK_UPDATES, bloom=["document_id"])
         self.regions = TableStore(spark, f"{folder}/regions", ["region_id"], REGION_UPDATES, bloom=["document_id"])
 
-    def write(self, documents: DataFrame, chunks: DataFrame, regions: DataFrame) -> None:
+    def write(self, documents: DataFrame, chunks: DataFrame, regions: DataFrame, unique: bool = False) -> None:
         self.documents.upsert(documents)
-        self.chunks.upsert(chunks)
-        self.regions.upsert(regions)
+        self.chunks.upsert(chunks, unique=unique)
+        self.regions.upsert(regions, unique=unique)
+
+    def write_unique(self, documents: DataFrame, chunks: DataFrame, regions: DataFrame) -> None:
+        """For chunks and regions that have keys of their own, as the pipeline makes them."""
+        self.write(documents, chunks, regions, True)
 
     def find_by_hash(self, content_hash: str) -> DataFrame | None:
         found = self.documents.read()
@@ -247,16 +253,19 @@ class GraphStore:
         self.has_chunk, self.has_region = table("has_chunk", "document_id", "chunk_id"), table("has_region", "document_id", "region_id")
         self.next_chunk, self.mentions, self.table_rows = table("next_chunk", "from_id"), table("mentions", "chunk_id", "text", "type"), table("table_rows", "chunk_id", "row_index")
 
-    def write(self, documents: DataFrame, chunks: DataFrame, regions: DataFrame) -> None:
+    def write(self, documents: DataFrame, chunks: DataFrame, regions: DataFrame, unique: bool = False) -> None:
         """Writing the same again changes nothing: every node and edge has a key."""
         self.documents.upsert(documents.select("content_hash", "document_id", "source_path"))
-        self.chunks.upsert(chunks.select("chunk_id", "document_id", "reading_order_index", "content_type", "page_number"))
-        self.regions.upsert(regions.select("region_id", "document_id", "page_number", "region_index", "region_type"))
-        self.has_chunk.upsert(graph.has_chunk(chunks))
-        self.has_region.upsert(graph.has_region(regions))
-        self.next_chunk.upsert(graph.next_chunk(chunks))
-        self.mentions.upsert(graph.mentions(chunks))
-        self.table_rows.upsert(graph.table_rows(chunks))
+        self.chunks.upsert(chunks.select("chunk_id", "document_id", "reading_order_index", "content_type", "page_number"), unique=unique)
+        self.regions.upsert(regions.select("region_id", "document_id", "page_number", "region_index", "region_type"), unique=unique)
+        self.has_chunk.upsert(chunks.select("document_id", "chunk_id") if unique else graph.has_chunk(chunks), unique=unique)
+        self.has_region.upsert(regions.select("document_id", "region_id") if unique else graph.has_region(regions), unique=unique)
+        self.next_chunk.upsert(graph.next_chunk(chunks), unique=unique)
+        self.mentions.upsert(graph.mentions(chunks), unique=True)  # they are distinct
+        self.table_rows.upsert(graph.table_rows(chunks), unique=unique)
+
+    def write_unique(self, documents: DataFrame, chunks: DataFrame, regions: DataFrame) -> None:
+        self.write(documents, chunks, regions, True)
 
     def children(self, content_hash: str) -> DataFrame:
         """The chunks of a document in reading order."""
@@ -274,10 +283,13 @@ class VectorStore:
     def __init__(self, spark: SparkSession, folder: str, embedder, visual: bool = False):
         self.table, self.embedder, self.visual = TableStore(spark, folder, ["chunk_id"]), embedder, visual
 
-    def write(self, documents: DataFrame, chunks: DataFrame, regions: DataFrame) -> None:
+    def write(self, documents: DataFrame, chunks: DataFrame, regions: DataFrame, unique: bool = False) -> None:
         content = chunks.where(~F.coalesce("metadata_only", F.lit(False))) if "metadata_only" in chunks.columns else chunks
         points = embed_chunks(content, self.embedder, self.visual)
-        self.table.upsert(points.withColumn("point_id", point_id(F.col("chunk_id"))))
+        self.table.upsert(points.withColumn("point_id", point_id(F.col("chunk_id"))), unique=unique)
+
+    def write_unique(self, documents: DataFrame, chunks: DataFrame, regions: DataFrame) -> None:
+        self.write(documents, chunks, regions, True)
 
 
 def default_stores(spark: SparkSession, folder: str, embedder) -> dict:
@@ -353,6 +365,11 @@ def decode_rows(rows: DataFrame, schema: T.StructType) -> DataFrame:
 def embed_source(chunks: DataFrame, visual: bool = False) -> DataFrame:
     """(chunk_id, embed_kind, embed_input): what of a chunk is embedded: a figure's image if visual
     embedding is on, else its description; the overview of anything else."""
+    kind, value = _embedded(chunks, visual)
+    return chunks.select("chunk_id", kind.alias("embed_kind"), value.alias("embed_input"))
+
+
+def _embedded(chunks: DataFrame, visual: bool) -> tuple[Column, Column]:
     col = lambda c: F.col(c) if c in chunks.columns else F.lit(None).cast("string")
     figure = F.col("content_type") == "figure"
     path = F.coalesce(col("cropped_image_path"), F.lit("")) != ""
@@ -360,14 +377,14 @@ def embed_source(chunks: DataFrame, visual: bool = False) -> DataFrame:
     described = figure & (F.coalesce(col("image_description"), F.lit("")) != "")
     kind = F.when(image, "image").when(described, "description").otherwise("overview")
     value = F.when(image, col("cropped_image_path")).when(described, col("image_description")).otherwise(F.coalesce("overview", F.lit("")))
-    return chunks.select("chunk_id", kind.alias("embed_kind"), value.alias("embed_input"))
+    return kind, value
 
 
 def embed_chunks(chunks: DataFrame, embedder, visual: bool = False) -> DataFrame:
     """(vector payload, vector) of chunks: what embed_source picks goes through the embedder, any object
     with ``embed(text) -> list of floats``. Columns of the payload that chunks lack are left out."""
     payload = [c for c in VECTOR_PAYLOAD if c in chunks.columns]
-    rows = chunks.join(embed_source(chunks, visual), "chunk_id").select(*payload, "embed_input")
+    rows = chunks.select(*payload, _embedded(chunks, visual)[1].alias("embed_input"))
     at = len(payload)
 
     def run(batches):

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import let
 from quire.functions.text import non_empty
 
 
@@ -48,12 +49,15 @@ def correction_prompt(prompt: Column, names: Column, rules: tuple[Rule, ...] = R
     return F.concat(prompt, F.lit(f"\n\n{REQUEST}\n\n"), F.array_join(lines, "\n"))
 
 
-def validate_and_correct(chunks: DataFrame, call: Callable[[DataFrame], DataFrame], rules: tuple[Rule, ...] = RULES, max_passes: int = 2, write: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def validate_and_correct(chunks: DataFrame, call: Callable[[DataFrame], DataFrame], rules: tuple[Rule, ...] = RULES, max_passes: int = 2, write: Callable[[DataFrame], DataFrame] | None = None, fill: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Check answers and ask again, at most ``max_passes`` times, for those that fail.
 
     ``chunks``: chunk_id, content_type, prompt, raw_text and answer; ``call`` adds answer to rows that lack
     it; ``write`` (default: a written table in the shared folder) fixes answers that may differ when computed
     again. Adds correction_applied, confidence_score (1, or 0 where rules still fail) and passes.
+
+    ``fill`` puts answers into the chunks before they are written, so that the answers themselves, with their
+    copies of the text, aren't; what was asked is kept beside it only where it is asked again.
     """
     from quire.operators.extraction import parse_answer
     from quire.operators.stores import write_and_read
@@ -61,18 +65,22 @@ def validate_and_correct(chunks: DataFrame, call: Callable[[DataFrame], DataFram
     write = write or write_and_read
 
     def checked(rows: DataFrame) -> DataFrame:
-        rows = rows.withColumn("__a", parse_answer(F.col("answer")))
-        return rows.withColumn("failed", failing(F.col("content_type"), lambda n: F.col("__a")[n], rules)).drop("__a")
+        rows = rows.withColumn("failed", let(parse_answer(F.col("answer")), lambda a: failing(F.col("content_type"), lambda n: a[n], rules)))
+        return rows if fill is None else fill(rows.withColumn("__asked", F.when(F.size("failed") > 0, F.struct(*asked))))
+
+    asked = [c for c in chunks.columns if c != "answer"] + ["passes"]
 
     rows = write(checked(chunks.withColumn("passes", F.lit(0))))
     done = rows.where(F.size("failed") == 0)
     for n in range(1, max_passes + 1):
         open_ = rows.where(F.size("failed") > 0)
-        again = open_.withColumn("__prompt", F.col("prompt")).withColumn("prompt", correction_prompt(F.col("prompt"), F.col("failed"), rules)).drop("answer", "failed")
+        open_ = open_ if fill is None else open_.select("__asked.*", "failed")
+        again = open_.withColumn("__prompt", F.col("prompt")).withColumn("prompt", correction_prompt(F.col("prompt"), F.col("failed"), rules)).drop(*(c for c in ("answer", "failed") if c in open_.columns))
         again = call(again).withColumn("prompt", F.col("__prompt")).drop("__prompt").withColumn("passes", F.lit(n))
         rows = write(checked(again))
         done = done.unionByName(rows.where(F.size("failed") == 0) if n < max_passes else rows)
     ok = F.size("failed") == 0
+    done = done.drop("__asked")
     return done.withColumn("correction_applied", F.col("passes") > 0).withColumn("confidence_score", F.when(ok, 1.0).otherwise(0.0))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.operators import chunking, extraction, layout, metrics, stores, validation
@@ -81,7 +81,6 @@ class Pipeline:
 
     def regions(self, pages: DataFrame) -> DataFrame:
         """Regions in reading order: by the detector and XY cuts where there is an image, else by the text."""
-        c = self.config
         seen = layout.virtual_regions(pages if self.detector is None or "image" not in pages.columns else pages.where("image is null"))
         if self.detector is not None and "image" in pages.columns:
             drawn = pages.where("image is not null")
@@ -91,29 +90,45 @@ class Pipeline:
             if self.cropper is not None:
                 found = layout.crop_regions(found, drawn, self.cropper)
             seen = seen.unionByName(found, allowMissingColumns=True)
-        crop = layout.crop_path(F.lit(c.crop_store), F.col("document_id"), F.col("page_number"), F.col("region_index"), F.col("region_type"))
+        crop = self._crop_path(F.col("region_index"), F.col("region_type"))
         return seen.withColumns({"cropped_image_path": crop, "region_id": stable_id(F.col("document_id"), F.col("page_number"), F.col("region_index")), "schema_version": F.lit(CURRENT_VERSION)})
 
+    def _crop_path(self, index: Column, kind: Column) -> Column:
+        return layout.crop_path(F.lit(self.config.crop_store), F.col("document_id"), F.col("page_number"), index, kind)
+
     def run(self, pages: DataFrame, schema: ExtractionSchema | None = None, stored: DataFrame | None = None) -> Result:
         """``pages`` as file_pages gives them; documents whose content is ``stored`` are left out first. A
-        document without pages is kept, for review, with the reason in error."""
+        document without pages is kept, for review, with the reason in error. Of files with one content the first by
+        path is read, so pages, regions and chunks have keys of their own.
+
+        What a page's regions and chunks need is in its row, so texts go through a shuffle only where the chunks of a
+        document are numbered and look at their neighbours, after the answers.
+        """
         c = self.config
-        pages = stores.write_and_read(pages if stored is None else stores.unseen(pages, stored))
+        pages = pages if stored is None else stores.unseen(pages, stored)
+        first = F.min("source_path").over(Window.partitionBy("document_id"))
+        pages = stores.write_and_read(pages.withColumn("__first", first).where(F.col("source_path").eqNullSafe(F.col("__first"))).drop("__first"))
         read = pages.where("page_number is not null")
         regions = self.regions(read)
         if self.cropper is not None:
             regions = stores.write_and_read(regions)
-        chunks = chunking.chunk_regions(regions, c.max_text_chars)
+        drawn = self.detector is not None and "image" in pages.columns
+        if drawn:
+            whole = chunking.gather_pages(regions)
+        else:
+            named = F.transform("regions", lambda r: r.withField("cropped_image_path", self._crop_path(r["region_index"], r["region_type"])))
+            whole = layout.page_regions(read).withColumn("regions", named)
+        chunks = chunking.chunk_pages(whole, c.max_text_chars)
         asked = chunks.withColumn("prompt", extraction.prompt(F.col("content_type"), c.prompts, c.suffix, schema))
         call = lambda rows: extraction.call_model(rows, self.extractor, concurrency=c.concurrency)
         content = asked.where(~F.col("metadata_only"))
-        checked = validation.validate_and_correct(call(content), call, c.rules, c.max_passes)
-        filled = extraction.populate(checked)
-        bare = asked.where("metadata_only").withColumns({"confidence_score": F.lit(0.0), "correction_applied": F.lit(False)})
-        chunks = filled.unionByName(bare, allowMissingColumns=True).drop("prompt", "failed").withColumn("schema_version", F.lit(CURRENT_VERSION))
-        chunks = stores.write_and_read(chunks)
-        chunks = chunks.join(chunking.page_break_context(chunks), "chunk_id", "left")
+        fill = lambda rows: extraction.populate(rows).drop("prompt")
+        chunks = validation.validate_and_correct(call(content), call, c.rules, c.max_passes, fill=fill).drop("failed")
+        if drawn:  # only a detector finds headers and footers
+            bare = asked.where("metadata_only").drop("prompt").withColumns({"confidence_score": F.lit(0.0), "correction_applied": F.lit(False)})
+            chunks = chunks.unionByName(stores.write_and_read(bare), allowMissingColumns=True)
         status = extraction.document_status(chunks)
+        chunks = chunking.number_chunks(chunking.with_page_break_context(chunks, "grp")).withColumn("schema_version", F.lit(CURRENT_VERSION))
         error = F.max("error") if "error" in pages.columns else F.lit(None).cast("string")
         documents = pages.groupBy("document_id", "content_hash", "format").agg(F.min("source_path").alias("source_path"), F.max("page_number").alias("total_pages"), error.alias("error"))
         state = F.when(F.col("error").isNotNull(), "review_required").otherwise(F.coalesce("processing_status", F.lit("complete")))
@@ -122,12 +137,14 @@ class Pipeline:
 
     def write(self, result: Result, targets: list[str] | None = None, only_failed: DataFrame | None = None) -> DataFrame:
         """Documents, chunks, regions, graph and vectors to the sinks; the manifest, which is kept too."""
-        chunks, regions = stores.write_and_read(result.chunks), stores.write_and_read(result.regions.drop("crop"))
+        tables = result.chunks, result.regions.drop("crop")
 
         def adapt(sink):
             if not hasattr(sink, "write"):
                 return sink
-            return lambda docs: sink.write(docs, *(t.join(docs.select("document_id"), "document_id", "left_semi") for t in (chunks, regions)))
+            write = getattr(sink, "write_unique", sink.write)
+            of = lambda docs, t: t if docs is result.documents else t.join(docs.select("document_id"), "document_id", "left_semi")
+            return lambda docs: write(docs, *(of(docs, t) for t in tables))
 
         told = stores.write_to_sinks(result.documents, {n: adapt(s) for n, s in self.sinks.items()}, targets, only_failed)
         if self.manifest is not None:

@@ -67,6 +67,7 @@ class RuleExtractor:
     """Answers with the region's own text, the first 200 characters of its first sentence as overview (an
     overview is short by its nature; the text stays whole), and capitalised words as entities."""
 
+    waits = False
     NAME = re.compile(r"\b[A-Z][a-z]{2,}(?: [A-Z][a-z]{2,})*\b")
 
     def answer(self, prompt: str, text: str) -> str:

@@ -188,6 +188,59 @@ def test_windowed_counts(spark, tmp_path):
     assert {(r.event_type, r.n) for r in spark.table("counts").collect()} == {("a", 1)}  # the later window stays open until a watermark passes it
 
 
+def exchanges(df):
+    """How many shuffles the plan of a table has."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_texts_shuffle_once(spark):
+    """Regions and the fold come from a page's row; only numbering and page breaks deal chunks out."""
+    rows = [("d", "p", "d", "txt", n, f"{n} one\n| a |\n| b |\n| c |\nlast") for n in (1, 2)]
+    pages = spark.createDataFrame(rows, "document_id string, source_path string, content_hash string, format string, page_number int, native_text string")
+    result = engine.Pipeline().run(pages)
+    assert exchanges(layout.virtual_regions(pages)) == 0 and exchanges(result.regions) == 0 and exchanges(result.chunks) == 1
+    assert exchanges(stores.embed_chunks(result.chunks, HashEmbedder())) == 1
+    assert exchanges(result.chunks.select("document_id", "overview", "chunk_id")) == 1
+    got = [(r.page_number, r.chunk_index, r.content_type, r.raw_text, r.page_break_context) for r in result.chunks.orderBy("chunk_index").collect()]
+    assert got == [
+        (1, 0, "text", "1 one", None), (1, 1, "table", "| a |\n| b |\n| c |", None), (1, 2, "text", "last", "[...continues on page 2: 2 one]"),
+        (2, 3, "text", "2 one", "[...continued from page 1: last]"), (2, 4, "table", "| a |\n| b |\n| c |", None), (2, 5, "text", "last", None),
+    ]
+
+
+def test_copies_of_a_file_are_read_once(spark, tmp_path):
+    rows = [("d", path, "d", "txt", 1, "a\nb") for path in ("y", "x")]
+    pages = spark.createDataFrame(rows, "document_id string, source_path string, content_hash string, format string, page_number int, native_text string")
+    pipeline = engine.Pipeline(sinks=stores.default_stores(spark, f"file://{tmp_path}/out", HashEmbedder()))
+    told = pipeline.write(pipeline.run(pages))
+    assert {(r.sink, r.status) for r in told.collect()} == {(s, "ok") for s in stores.SINKS}
+    mongo = pipeline.sinks["mongo"]
+    assert [(r.source_path, r.total_pages) for r in mongo.documents.read().collect()] == [("x", 1)]
+    assert [r.text for r in mongo.regions_of("d").collect()] == ["a", "b"] and [r.raw_text for r in mongo.chunks_of("d").collect()] == ["a b"]
+
+
+def test_filters_fit_their_files(spark, tmp_path):
+    """A Bloom filter of a few keys takes no MB."""
+    store = stores.TableStore(spark, f"file://{tmp_path}/t", ["k"], bloom=["v"])
+    store.upsert(spark.range(100).selectExpr("id AS k", "sha2(string(id), 256) AS v"))
+    assert sum(e["bytes"] for e in store._entries()) < 1_000_000
+
+
+def test_long_page(spark):
+    """More lines than an array block holds, against a plain reckoning."""
+    lines = ["|" if i % 7 in (2, 3, 4) else "" if i % 5 == 0 else "x" * (i % 240) for i in range(700)]
+    page = spark.createDataFrame([("d", 1, "\n".join(lines))], "document_id string, page_number int, native_text string")
+    want, top, i = [], 0, 0
+    while i < len(lines):
+        n = 3 if lines[i : i + 3] == ["|"] * 3 else 1
+        rows = sum(max(-(-len(x) // 100), 1) for x in lines[i : i + n])
+        if n == 3 or lines[i]:
+            want.append(("table" if n == 3 else "text", "\n".join(lines[i : i + n]), 120.0 + 36 * top, 120.0 + 36 * (top + rows)))
+        top, i = top + rows, i + n
+    got = [(r.region_type, r.text, r.bbox.y0, r.bbox.y1) for r in layout.virtual_regions(page).orderBy("region_index").collect()]
+    assert got == want
+
+
 def test_registry():
     import __spark_entry__ as entry
 

@@ -3,11 +3,13 @@ import json
 import struct
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from quire.operators import layout, metrics, stores
 from quire.plans import engine
 from quire.providers import HashEmbedder, Retrying
+from quire.sources.text import paginate
 from quire.streaming import ingest
 
 
@@ -208,6 +210,30 @@ def test_texts_shuffle_once(spark):
     ]
 
 
+def moved(spark) -> int:
+    """Bytes that all stages so far shuffled, spilled to disk and wrote."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    gateway = spark.sparkContext._gateway
+    told = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+    stages = [told.apply(i) for i in range(told.size())]
+    return sum(s.shuffleWriteBytes() + s.diskBytesSpilled() + s.outputBytes() for s in stages)
+
+
+@pytest.mark.parametrize("sink", ["mongo", "neo4j"])
+def test_bytes_moved(spark, tmp_path, sink):
+    """What an ingest shuffles and writes, as a multiple of its texts."""
+    word = lambda i: hashlib.md5(str(i).encode()).hexdigest()[: 3 + i % 9]
+    texts = ["\n".join(" ".join(word(d * 9000 + k * 90 + i) for i in range(14)) for k in range(100)) for d in range(120)]
+    rows = [(str(d), str(d), str(d), "txt", t) for d, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "document_id string, source_path string, content_hash string, format string, text string")
+    pipeline = engine.Pipeline(sinks=stores.default_stores(spark, f"file://{tmp_path}/out", HashEmbedder()))
+    before = moved(spark)
+    told = pipeline.write(pipeline.run(paginate(docs)), [sink])
+    assert [r.status for r in told.select("status").distinct().collect()] == ["ok"]
+    ratio = (moved(spark) - before) / sum(map(len, texts))
+    assert ratio < {"mongo": 8, "neo4j": 5}[sink]
+
+
 def test_copies_of_a_file_are_read_once(spark, tmp_path):
     rows = [("d", path, "d", "txt", 1, "a\nb") for path in ("y", "x")]
     pages = spark.createDataFrame(rows, "document_id string, source_path string, content_hash string, format string, page_number int, native_text string")

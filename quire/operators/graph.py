@@ -14,10 +14,13 @@ def next_chunk(chunks: DataFrame, key: str = "document_id", order: str = "readin
     return chunks.select(F.col(node).alias("from_id"), follows.alias("to_id")).where(F.col("to_id").isNotNull())
 
 
-def mentions(chunks: DataFrame) -> DataFrame:
-    """(chunk_id, text, type), once for each chunk and entity; entities without text are skipped."""
-    found = chunks.select("chunk_id", F.explode("entities").alias("e"))
-    return found.select("chunk_id", F.col("e.text").alias("text"), F.coalesce("e.type", F.lit(UNKNOWN)).alias("type")).where(F.coalesce(F.col("text"), F.lit("")) != "").distinct()
+def mentions(chunks: DataFrame, unique: bool = False) -> DataFrame:
+    """(chunk_id, text, type), once for each chunk and entity; entities without text are skipped. ``unique``: no
+    two rows share a chunk_id, so a row's mentions are distinct among themselves and needn't meet others."""
+    named = F.transform("entities", lambda e: F.struct(e["text"].alias("text"), F.coalesce(e["type"], F.lit(UNKNOWN)).alias("type")))
+    found = chunks.select("chunk_id", F.explode(F.array_distinct(named)).alias("e"))
+    told = found.select("chunk_id", "e.text", "e.type").where(F.coalesce(F.col("text"), F.lit("")) != "")
+    return told if unique else told.distinct()
 
 
 def entities(mentions_: DataFrame) -> DataFrame:

@@ -146,16 +146,19 @@ class TableStore:
         out.close()
         return number
 
+    def _stored(self, entry: dict) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+        kinds = T.StructType([*(T.StructField(f.name, f.dataType) for f in schema), T.StructField("__bucket", T.IntegerType())])
+        return self.spark.read.schema(kinds).parquet(f"{self.folder}/{entry['data']}")
+
     def _fold(self, entries: list[dict], narrow: Callable[[DataFrame], DataFrame] = lambda d: d) -> DataFrame | None:
         if not entries:
             return None
         frames, have = [], []
         for i, e in enumerate(entries):
-            schema = T.StructType.fromJson(json.loads(e["schema"]))
-            have.append(schema.names)
-            stored = T.StructType([*(T.StructField(f.name, f.dataType) for f in schema), T.StructField("__bucket", T.IntegerType())])
-            rows = narrow(self.spark.read.schema(stored).parquet(f"{self.folder}/{e['data']}"))
-            frames.append(rows.drop("__bucket").withColumn("__n", F.lit(i)))
+            rows = self._stored(e)
+            have.append([c for c in rows.columns if c != "__bucket"])
+            frames.append(narrow(rows).drop("__bucket").withColumn("__n", F.lit(i)))
         if len(frames) == 1:
             return frames[0].drop("__n")
         rows = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -176,15 +179,18 @@ class TableStore:
         inside = [r[0] for r in keys.select(bucket_of(self.keys, self.buckets)).distinct().collect()]  # ``buckets`` numbers at most
         return self._fold(self._entries(), lambda d: d.where(F.col("__bucket").isin(inside)).join(keys, self.keys, "left_semi"))
 
-    def upsert(self, new: DataFrame, order: str | None = None, unique: bool = False) -> None:
+    def upsert(self, new: DataFrame, order: str | None = None, unique: bool = False) -> DataFrame:
         """Put rows in by key; of several new rows of a key the last by ``order`` counts (without it: any).
-        ``unique``: the caller knows that no two new rows share a key, so they needn't meet."""
-        self._commit(self._write(new if unique else last_by_key(new, self.keys, order)))
+        ``unique``: the caller knows that no two new rows share a key, so they needn't meet.
+        Returns the new rows that count, read from where they were written; a vacuum after a compaction deletes them."""
+        told = self._write(new if unique else last_by_key(new, self.keys, order))
+        self._commit(told)
         entries = self._entries()
         deltas = [e for e in entries if "covers" not in e]
         base = sum(e["bytes"] for e in entries if "covers" in e)
         if len(deltas) >= self.compact_after and 2 * sum(e["bytes"] for e in deltas) >= base:
             self.compact()
+        return self._stored(told).drop("__bucket")
 
     def compact(self) -> None:
         entries = self._entries()
@@ -254,14 +260,16 @@ class GraphStore:
         self.next_chunk, self.mentions, self.table_rows = table("next_chunk", "from_id"), table("mentions", "chunk_id", "text", "type"), table("table_rows", "chunk_id", "row_index")
 
     def write(self, documents: DataFrame, chunks: DataFrame, regions: DataFrame, unique: bool = False) -> None:
-        """Writing the same again changes nothing: every node and edge has a key."""
+        """Writing the same again changes nothing: every node and edge has a key. ``unique``: chunks and regions have
+        keys of their own; then edges between nodes come from the nodes just written, so chunks aren't numbered, nor pages
+        laid out, again for each kind of edge, and a chunk's mentions come from its row."""
         self.documents.upsert(documents.select("content_hash", "document_id", "source_path"))
-        self.chunks.upsert(chunks.select("chunk_id", "document_id", "reading_order_index", "content_type", "page_number"), unique=unique)
-        self.regions.upsert(regions.select("region_id", "document_id", "page_number", "region_index", "region_type"), unique=unique)
-        self.has_chunk.upsert(chunks.select("document_id", "chunk_id") if unique else graph.has_chunk(chunks), unique=unique)
-        self.has_region.upsert(regions.select("document_id", "region_id") if unique else graph.has_region(regions), unique=unique)
-        self.next_chunk.upsert(graph.next_chunk(chunks), unique=unique)
-        self.mentions.upsert(graph.mentions(chunks), unique=True)  # they are distinct
+        nodes = self.chunks.upsert(chunks.select("chunk_id", "document_id", "reading_order_index", "content_type", "page_number"), unique=unique)
+        boxes = self.regions.upsert(regions.select("region_id", "document_id", "page_number", "region_index", "region_type"), unique=unique)
+        self.has_chunk.upsert(nodes.select("document_id", "chunk_id") if unique else graph.has_chunk(chunks), unique=unique)
+        self.has_region.upsert(boxes.select("document_id", "region_id") if unique else graph.has_region(regions), unique=unique)
+        self.next_chunk.upsert(graph.next_chunk(nodes if unique else chunks), unique=unique)
+        self.mentions.upsert(graph.mentions(chunks, unique), unique=True)  # they are distinct
         self.table_rows.upsert(graph.table_rows(chunks), unique=unique)
 
     def write_unique(self, documents: DataFrame, chunks: DataFrame, regions: DataFrame) -> None:

@@ -6,7 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from quire.operators import layout, metrics, stores
+from quire.operators import graph, layout, metrics, stores
 from quire.plans import engine
 from quire.providers import HashEmbedder, Retrying
 from quire.sources.text import paginate
@@ -234,6 +234,18 @@ def test_bytes_moved(spark, tmp_path, sink):
     assert ratio < {"mongo": 8, "neo4j": 5}[sink]
 
 
+def test_edges_come_from_nodes(spark, tmp_path):
+    """A chunk's mentions are distinct in its row, and edges that join nodes are those of the nodes written."""
+    entities = [("Ann", "PERSON", "a"), ("Ann", "PERSON", "b"), ("Ann", None, "c"), ("", "ORG", "d"), (None, "ORG", "e")]
+    chunks = spark.createDataFrame([("c1", entities), ("c2", None), ("c3", [])], "chunk_id string, entities array<struct<text:string,type:string,value:string>>")
+    assert exchanges(graph.mentions(chunks, unique=True)) == 0
+    want = [("c1", "Ann", "PERSON"), ("c1", "Ann", "UNKNOWN")]
+    assert sorted(map(tuple, graph.mentions(chunks, unique=True).collect())) == sorted(map(tuple, graph.mentions(chunks).collect())) == want
+    store = stores.TableStore(spark, f"file://{tmp_path}/t", ["k"])
+    first = store.upsert(spark.range(3).selectExpr("id AS k", "rand() AS v"))
+    assert sorted(first.collect()) == sorted(store.read().collect())
+
+
 def test_copies_of_a_file_are_read_once(spark, tmp_path):
     rows = [("d", path, "d", "txt", 1, "a\nb") for path in ("y", "x")]
     pages = spark.createDataFrame(rows, "document_id string, source_path string, content_hash string, format string, page_number int, native_text string")

@@ -9,7 +9,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.arrays import let
 from quire.functions.text import strip
 from quire.operators.tables import looks_like_table, table_from_response
 from quire.schema import CELL, ENTITY, TABLE, ExtractionSchema
@@ -62,6 +61,15 @@ def parse_answer(text: Column) -> Column:
     return F.from_json(clean_answer(text), ANSWER)
 
 
+def with_parsed(rows: DataFrame, answer: str = "answer") -> DataFrame:
+    """``rows`` with __body, the object of the answer, and __a, what it says. Columns of their own, so whatever looks at
+    an answer, and however often, it is cleaned and parsed once."""
+    return rows.withColumn("__body", clean_answer(F.col(answer))).withColumn("__a", F.from_json("__body", ANSWER))
+
+
+PARSED = ("__body", "__a")
+
+
 def structured_data(text: Column) -> Column:
     """JSON string: the answer's ``fields`` if it has them, else all its keys that aren't reserved."""
     return _structured(clean_answer(text))
@@ -77,9 +85,9 @@ def _structured(body: Column) -> Column:
 
 def populate(chunks: DataFrame, answer: str = "answer") -> DataFrame:
     """Chunks with what the model's answer (a string column) says, by content type; a figure whose text
-    is a table becomes one. Chunks that are metadata only stay as they are."""
-    found = chunks.withColumn("__j", let(clean_answer(F.col(answer)), lambda body: F.struct(F.from_json(body, ANSWER).alias("a"), _structured(body).alias("s"))))
-    found = found.withColumns({"__a": F.col("__j.a"), "__s": F.col("__j.s")})
+    is a table becomes one. Chunks that are metadata only stay as they are. Answers that with_parsed has parsed
+    aren't parsed again."""
+    found = chunks if set(PARSED) <= set(chunks.columns) else with_parsed(chunks, answer)
     a, kind = F.col("__a"), F.col("content_type")
     text = F.coalesce(a["text"], a["raw_text"], F.lit(""))
     seen = F.coalesce(F.nullif(a["raw_text"], F.lit("")), a["image_description"], a["description"])
@@ -95,9 +103,9 @@ def populate(chunks: DataFrame, answer: str = "answer") -> DataFrame:
         "table_data": F.when(table & ~skip, data).otherwise(none.cast(TABLE)),
         "image_description": F.when((kind == "figure") & ~table & ~skip, F.coalesce(a["description"], F.lit(""))),
         "formula_latex": F.when((kind == "formula") & ~skip, F.coalesce(a["latex"], F.lit(""))),
-        "structured_data": F.when(~skip, F.col("__s")),
+        "structured_data": F.when(~skip, _structured(F.col("__body"))),
     }
-    return found.select(*[c for c in chunks.columns if c not in new and c != answer], *[v.alias(k) for k, v in new.items()])
+    return found.select(*[c for c in chunks.columns if c not in new and c not in (answer, *PARSED)], *[v.alias(k) for k, v in new.items()])
 
 
 # The request of an overview alone, and its length.

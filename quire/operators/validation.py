@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.arrays import let
 from quire.functions.text import non_empty
 
 
@@ -59,14 +58,15 @@ def validate_and_correct(chunks: DataFrame, call: Callable[[DataFrame], DataFram
     ``fill`` puts answers into the chunks before they are written, so that the answers themselves, with their
     copies of the text, aren't; what was asked is kept beside it only where it is asked again.
     """
-    from quire.operators.extraction import parse_answer
+    from quire.operators.extraction import PARSED, with_parsed
     from quire.operators.stores import write_and_read
 
     write = write or write_and_read
 
     def checked(rows: DataFrame) -> DataFrame:
-        rows = rows.withColumn("failed", let(parse_answer(F.col("answer")), lambda a: failing(F.col("content_type"), lambda n: a[n], rules)))
-        return rows if fill is None else fill(rows.withColumn("__asked", F.when(F.size("failed") > 0, F.struct(*asked))))
+        rows = with_parsed(rows)
+        rows = rows.withColumn("failed", failing(F.col("content_type"), lambda n: F.col("__a")[n], rules))
+        return rows.drop(*PARSED) if fill is None else fill(rows.withColumn("__asked", F.when(F.size("failed") > 0, F.struct(*asked))))
 
     asked = [c for c in chunks.columns if c != "answer"] + ["passes"]
 

@@ -6,6 +6,7 @@ claim to be equivalent to a model.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import math
@@ -77,6 +78,11 @@ class RuleExtractor:
         return json.dumps({"text": text, "markdown": text if "|" in text else "", "latex": text, "overview": first or "Empty region.", "entities": entities})
 
 
+@functools.lru_cache(1 << 16)
+def _word_hash(word: str) -> int:
+    return int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
+
+
 class HashEmbedder:
     """A bag of hashed words, of length 1."""
 
@@ -86,7 +92,7 @@ class HashEmbedder:
     def embed(self, text: str) -> list[float]:
         out = [0.0] * self.dim
         for word in re.findall(r"\w+", (text or "").lower()):
-            h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
+            h = _word_hash(word)
             out[h % self.dim] += 1.0 if h >> 63 else -1.0
         length = math.sqrt(sum(x * x for x in out))
         return [x / length for x in out] if length else out

@@ -6,7 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from quire.operators import graph, layout, metrics, stores
+from quire.operators import extraction, graph, layout, metrics, stores, validation
 from quire.plans import engine
 from quire.providers import HashEmbedder, Retrying
 from quire.sources.text import paginate
@@ -234,6 +234,21 @@ def test_bytes_moved(spark, tmp_path, sink):
     assert ratio < {"mongo": 8, "neo4j": 5}[sink]
 
 
+def test_answers_are_parsed_once(spark):
+    """Checks and fields of an answer come from one parse of it."""
+    answer = json.dumps({"overview": "o", "markdown": "a|b\n--|--\n1|2"})
+    rows = spark.createDataFrame([("table", "t", "p", False, answer)], "content_type string, raw_text string, prompt string, metadata_only boolean, answer string")
+    plans = []
+
+    def write(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stores.write_and_read(df)
+
+    done = validation.validate_and_correct(rows, None, write=write, max_passes=0, fill=extraction.populate)
+    assert plans[0].count("from_json(StructField(text,") == 1
+    assert done.select("table_data.headers", "table_data.rows", "confidence_score").first() == (["a", "b"], [["1", "2"]], 1.0)
+
+
 def test_edges_come_from_nodes(spark, tmp_path):
     """A chunk's mentions are distinct in its row, and edges that join nodes are those of the nodes written."""
     entities = [("Ann", "PERSON", "a"), ("Ann", "PERSON", "b"), ("Ann", None, "c"), ("", "ORG", "d"), (None, "ORG", "e")]
@@ -246,6 +261,14 @@ def test_edges_come_from_nodes(spark, tmp_path):
     assert sorted(first.collect()) == sorted(store.read().collect())
 
 
+def test_words_are_hashed_once():
+    from quire import providers
+
+    providers._word_hash.cache_clear()
+    assert HashEmbedder().embed("some words are some") == HashEmbedder().embed("words some some are")
+    assert providers._word_hash.cache_info().misses == 3
+
+
 def test_copies_of_a_file_are_read_once(spark, tmp_path):
     rows = [("d", path, "d", "txt", 1, "a\nb") for path in ("y", "x")]
     pages = spark.createDataFrame(rows, "document_id string, source_path string, content_hash string, format string, page_number int, native_text string")

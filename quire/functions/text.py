@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import let
+
 #: What str.strip() takes for white space, by code point ranges.
 SPACE = "".join(chr(c) for a, b in ((0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)) for c in range(a, b + 1))
 #: What str.splitlines() takes for a line end.
@@ -21,8 +23,8 @@ def rstrip(text: Column) -> Column:
 
 def splitlines(text: Column) -> Column:
     """Lines without their ends; a line end at the very end adds no empty line."""
-    lines = F.split(text, LINE_END, -1)
-    return F.when(F.element_at(lines, -1) == "", F.slice(lines, 1, F.size(lines) - 1)).otherwise(lines)
+    cut = lambda lines: F.when(F.element_at(lines, -1) == "", F.slice(lines, 1, F.size(lines) - 1)).otherwise(lines)
+    return let(F.split(text, LINE_END, -1), cut)
 
 
 def strip_char(text: Column, char: str) -> Column:

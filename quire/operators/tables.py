@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import let
 from quire.functions.text import splitlines, strip, strip_char
 from quire.schema import CELL
 
@@ -27,14 +28,20 @@ def _cells(line: Column) -> Column:
 def parse_markdown(text: Column) -> Column:
     """struct(headers, rows): the first pipe line is the header, the first later separator line is
     skipped, all others are rows. Without a pipe line both are empty."""
-    lines = pipe_lines(F.coalesce(text, F.lit("")))
-    rest = F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))
-    separator = F.array_position(F.transform(rest, lambda x: x.rlike(SEPARATOR)), True).cast("int")
-    rows = F.when(separator > 0, F.concat(F.slice(rest, 1, separator - 1), F.slice(rest, separator + 1, F.size(rest)))).otherwise(rest)
     empty = F.array().cast("array<string>")
-    return F.when(F.size(lines) > 0, F.struct(_cells(lines[0]).alias("headers"), F.transform(rows, _cells).alias("rows"))).otherwise(
-        F.struct(empty.alias("headers"), F.array().cast("array<array<string>>").alias("rows"))
-    )
+
+    def without(rest: Column, separator: Column) -> Column:
+        return F.when(separator > 0, F.concat(F.slice(rest, 1, separator - 1), F.slice(rest, separator + 1, F.size(rest)))).otherwise(rest)
+
+    def parsed(lines: Column) -> Column:
+        rest = F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))
+        separator = lambda rest: F.array_position(F.transform(rest, lambda x: x.rlike(SEPARATOR)), True).cast("int")
+        rows = let(rest, lambda rest: let(separator(rest), lambda at: without(rest, at)))
+        return F.when(F.size(lines) > 0, F.struct(_cells(lines[0]).alias("headers"), F.transform(rows, _cells).alias("rows"))).otherwise(
+            F.struct(empty.alias("headers"), F.array().cast("array<array<string>>").alias("rows"))
+        )
+
+    return let(pipe_lines(F.coalesce(text, F.lit(""))), parsed)
 
 
 def build_cells(headers: Column, rows: Column) -> Column:
@@ -62,9 +69,13 @@ def table_from_response(headers: Column, rows: Column, cells: Column, markdown:
     own = headers.isNotNull() & rows.isNotNull()
     found = F.when(own, F.struct(headers.alias("headers"), rows.alias("rows"))).otherwise(parsed)
     given = F.filter(cells, lambda c: c["row"].isNotNull() & c["col"].isNotNull())
-    made = F.when(F.size(given) > 0, given.cast(f"array<{CELL}>")).otherwise(build_cells(found["headers"], found["rows"]))
     shown = F.when(own, F.coalesce(F.nullif(markdown, F.lit("")), build_markdown(headers, rows))).otherwise(text)
-    return F.struct(found["headers"].alias("headers"), found["rows"].alias("rows"), made.alias("cells"), shown.alias("markdown"), F.lit(None).cast("int").alias("continued_from_page"), F.lit(None).cast("double").alias("merge_confidence"))
+
+    def data(found: Column) -> Column:
+        made = F.when(F.size(given) > 0, given.cast(f"array<{CELL}>")).otherwise(build_cells(found["headers"], found["rows"]))
+        return F.struct(found["headers"].alias("headers"), found["rows"].alias("rows"), made.alias("cells"), shown.alias("markdown"), F.lit(None).cast("int").alias("continued_from_page"), F.lit(None).cast("double").alias("merge_confidence"))
+
+    return let(found, data)
 
 
 def looks_like_table(text: Column, at_least: int = 3) -> Column:

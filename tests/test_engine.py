@@ -6,7 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from quire.operators import extraction, graph, layout, metrics, stores, validation
+from quire.operators import extraction, graph, layout, metrics, stores, tables, validation
 from quire.plans import engine
 from quire.providers import HashEmbedder, Retrying
 from quire.sources.text import paginate
@@ -249,6 +249,13 @@ def test_answers_are_parsed_once(spark):
     assert done.select("table_data.headers", "table_data.rows", "confidence_score").first() == (["a", "b"], [["1", "2"]], 1.0)
 
 
+def test_tables_are_parsed_once(spark):
+    """The lines of a table are cut once, however many of its parts are taken from them."""
+    parsed = spark.createDataFrame([("a|b\n--|--\n1|2",)], "t string").select(tables.parse_markdown(F.col("t")).alias("x"))
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("u2028") == 1 and parsed.first().x == (["a", "b"], [["1", "2"]])
+
+
 def test_edges_come_from_nodes(spark, tmp_path):
     """A chunk's mentions are distinct in its row, and edges that join nodes are those of the nodes written."""
     entities = [("Ann", "PERSON", "a"), ("Ann", "PERSON", "b"), ("Ann", None, "c"), ("", "ORG", "d"), (None, "ORG", "e")]

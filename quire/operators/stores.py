@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import json
+import math
 import uuid
 from collections.abc import Callable, Iterable
 
@@ -32,6 +33,18 @@ def write_and_read(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Fixed value: of a written table, the bytes that one task is to sort at most.
+SORTED_BYTES = 16 << 20
+
+
+def dealt_out(rows: DataFrame, key: str, source: DataFrame) -> DataFrame:
+    """``rows`` by ``key`` in so many partitions that each has about SORTED_BYTES of ``source``, the written table that
+    they come from; so what a task sorts, and spills, doesn't grow with the table. Where the session's number of
+    partitions is enough for that, they are left as they are."""
+    n = math.ceil(int(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) / SORTED_BYTES)
+    return rows.repartition(n, key) if n > int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows
+
+
 def point_id(chunk_id: Column) -> Column:
     """The first 16 hex digits of an id without dashes, as an unsigned 64-bit number."""
     return F.conv(F.substring(F.replace(chunk_id, F.lit("-")), 1, 16), 16, 10).cast("decimal(20,0)")

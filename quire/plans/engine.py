@@ -128,6 +128,7 @@ class Pipeline:
             bare = asked.where("metadata_only").drop("prompt").withColumns({"confidence_score": F.lit(0.0), "correction_applied": F.lit(False)})
             chunks = chunks.unionByName(stores.write_and_read(bare), allowMissingColumns=True)
         status = extraction.document_status(chunks)
+        chunks = stores.dealt_out(chunks, "document_id", pages)
         chunks = chunking.number_chunks(chunking.with_page_break_context(chunks, "grp")).withColumn("schema_version", F.lit(CURRENT_VERSION))
         error = F.max("error") if "error" in pages.columns else F.lit(None).cast("string")
         documents = pages.groupBy("document_id", "content_hash", "format").agg(F.min("source_path").alias("source_path"), F.max("page_number").alias("total_pages"), error.alias("error"))

@@ -210,6 +210,19 @@ def test_texts_shuffle_once(spark):
     ]
 
 
+def test_partitions_grow_with_pages(spark, monkeypatch):
+    """A task sorts the chunks of so many bytes of pages, whatever the session's number of partitions."""
+    rows = [(f"d{d}", f"p{d}", f"d{d}", "txt", n, f"{n} one of {d}\nlast") for d in range(40) for n in (1, 2)]
+    pages = spark.createDataFrame(rows, "document_id string, source_path string, content_hash string, format string, page_number int, native_text string")
+    told = lambda r: sorted((c.document_id, c.chunk_id, c.chunk_index, c.raw_text, c.page_break_context or "") for c in r.chunks.collect())
+    few = engine.Pipeline().run(pages)
+    monkeypatch.setattr(stores, "SORTED_BYTES", 200, raising=False)
+    many = engine.Pipeline().run(pages)
+    assert exchanges(few.chunks) == exchanges(many.chunks) == 1
+    assert "REPARTITION_BY_NUM" in many.chunks._jdf.queryExecution().executedPlan().toString()
+    assert told(few) == told(many) and len(told(few)) == 80
+
+
 def moved(spark) -> int:
     """Bytes that all stages so far shuffled, spilled to disk and wrote."""
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()

@@ -26,15 +26,25 @@ VECTOR_PAYLOAD = ("chunk_id", "document_id", "content_type", "cropped_image_path
 SINKS = ("mongo", "postgres", "neo4j", "vector")
 
 
-def write_and_read(df: DataFrame) -> DataFrame:
-    """Fix a table in the shared folder, so what is computed from it doesn't compute it again."""
-    path = f"{shared_folder(df.sparkSession)}/quire/table-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+# Fixed value: of a written table, the bytes that one task is to sort at most.
+SORTED_BYTES = 8 << 20
 
 
-# Fixed value: of a written table, the bytes that one task is to sort at most.
-SORTED_BYTES = 16 << 20
+def write_and_read(df: DataFrame, task_bytes: int | None = None) -> DataFrame:
+    """Fix a table in the shared folder, so what is computed from it doesn't compute it again. ``task_bytes``: a task
+    reads about so many bytes of its files at most, or what the session allows if that is less; so what a task makes of
+    them, and sorts by bucket to write it, doesn't grow with the table."""
+    path = f"{shared_folder(df.sparkSession)}/quire/table-{uuid.uuid4().hex}"
+    writer = df.write.option("compression", "zstd")
+    if task_bytes is None:
+        writer.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+    writer.option("parquet.block.size", str(task_bytes)).parquet(path)  # files are cut between their blocks
+    # Only a session can say it, so a copy of this one reads the table; the session's own settings stay.
+    session = df._jdf.sparkSession().cloneSession()
+    most = min(task_bytes, session.sessionState().conf().filesMaxPartitionBytes())
+    session.conf().set("spark.sql.files.maxPartitionBytes", str(most))
+    return DataFrame(session.read().schema(session.parseDataType(df.schema.json())).parquet(path), df.sparkSession)
 
 
 def dealt_out(rows: DataFrame, key: str, source: DataFrame) -> DataFrame:

@@ -96,18 +96,21 @@ class Pipeline:
     def _crop_path(self, index: Column, kind: Column) -> Column:
         return layout.crop_path(F.lit(self.config.crop_store), F.col("document_id"), F.col("page_number"), index, kind)
 
-    def run(self, pages: DataFrame, schema: ExtractionSchema | None = None, stored: DataFrame | None = None) -> Result:
+    def run(self, pages: DataFrame, schema: ExtractionSchema | None = None, stored: DataFrame | None = None, unique: bool = False) -> Result:
         """``pages`` as file_pages gives them; documents whose content is ``stored`` are left out first. A
         document without pages is kept, for review, with the reason in error. Of files with one content the first by
-        path is read, so pages, regions and chunks have keys of their own.
+        path is read, so pages, regions and chunks have keys of their own; ``unique``: the caller knows that there is
+        one file for each content, so pages needn't meet.
 
         What a page's regions and chunks need is in its row, so texts go through a shuffle only where the chunks of a
         document are numbered and look at their neighbours, after the answers.
         """
         c = self.config
         pages = pages if stored is None else stores.unseen(pages, stored)
-        first = F.min("source_path").over(Window.partitionBy("document_id"))
-        pages = stores.write_and_read(pages.withColumn("__first", first).where(F.col("source_path").eqNullSafe(F.col("__first"))).drop("__first"))
+        if not unique:
+            first = F.min("source_path").over(Window.partitionBy("document_id"))
+            pages = pages.withColumn("__first", first).where(F.col("source_path").eqNullSafe(F.col("__first"))).drop("__first")
+        pages = stores.write_and_read(pages, stores.SORTED_BYTES)
         read = pages.where("page_number is not null")
         regions = self.regions(read)
         if self.cropper is not None:
@@ -163,7 +166,7 @@ def ingest(spark: SparkSession, paths: list[str], schema: ExtractionSchema | Non
         known = None if stored is None else stored.join(files.select("content_hash"), "content_hash", "left_semi").select("document_id", "processing_status")
         fresh = files if stored is None else stores.unseen(files, stored)
     with pipeline.timings.timed("extract"):
-        result = pipeline.run(file_pages(fresh, pipeline.config.page_chars, pipeline.readers), schema)
+        result = pipeline.run(file_pages(fresh, pipeline.config.page_chars, pipeline.readers), schema, unique=True)
         result.documents = stores.write_and_read(result.documents)
     if pipeline.sinks:
         with pipeline.timings.timed("write"):

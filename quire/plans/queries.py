@@ -502,7 +502,7 @@ def ingest_documents(spark, sf_dir):
     """All documents through the whole plan with the offline providers."""
     head = documents(spark, sf_dir).select(F.sha2("text", 256).alias("content_hash"), F.col("doc_id").cast("string").alias("source_path"), F.lit("txt").alias("format"), "text")
     pages = paginate(stores.first_of_content(head).withColumn("document_id", F.col("content_hash")))
-    result = Pipeline().run(pages)
+    result = Pipeline().run(pages, unique=True)
     return result.chunks.select("chunk_id", "document_id", "page_number", "chunk_index", "content_type", "overview", "confidence_score", "page_break_context")
 
 
@@ -511,7 +511,7 @@ def _ingested(spark, sf_dir, name: str):
     head = documents(spark, sf_dir).select(F.sha2("text", 256).alias("content_hash"), F.col("doc_id").cast("string").alias("source_path"), F.lit("txt").alias("format"), "text")
     pages = paginate(stores.first_of_content(head).withColumn("document_id", F.col("content_hash")))
     pipeline = Pipeline(sinks=stores.default_stores(spark, f"{shared_folder(spark)}/quire/stores-{uuid.uuid4().hex}", HashEmbedder()))
-    pipeline.write(pipeline.run(pages), [name])
+    pipeline.write(pipeline.run(pages, unique=True), [name])
     return pipeline.sinks[name]
 
 

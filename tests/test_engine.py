@@ -223,6 +223,39 @@ def test_partitions_grow_with_pages(spark, monkeypatch):
     assert told(few) == told(many) and len(told(few)) == 80
 
 
+def test_tasks_read_so_many_pages(spark, monkeypatch):
+    """What a task lays out, and sorts by bucket to store it, is bounded in bytes, whatever the session's splits."""
+    word = lambda i: hashlib.sha256(str(i).encode()).hexdigest()
+    rows = [(f"d{d}", f"p{d}", f"d{d}", "txt", 1, "\n".join(word(d * 50 + i) for i in range(45))) for d in range(1500)]
+    pages = spark.createDataFrame(rows, "document_id string, source_path string, content_hash string, format string, page_number int, native_text string").coalesce(1)
+    told = lambda r: r.regions.agg(F.count("*"), F.sum(F.xxhash64("region_id", "text", F.col("bbox.y0")).cast("decimal(38,0)"))).first()
+    tasks = lambda r: r.regions.groupBy(F.spark_partition_id()).count().count()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    whole = engine.Pipeline().run(pages)
+    monkeypatch.setattr(stores, "SORTED_BYTES", 256 << 10, raising=False)
+    cut = engine.Pipeline().run(pages)
+    assert tasks(cut) >= 4 > tasks(whole) and told(cut) == told(whole) and told(cut)[0] == 1500 * 45
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_unique_pages_do_not_meet(spark):
+    """Where there is one file a content, its pages aren't dealt out and sorted to find the first."""
+    plans, write = [], stores.write_and_read
+    rows = [("d", "p", "d", "txt", n, f"{n} one\nlast") for n in (1, 2)]
+    pages = spark.createDataFrame(rows, "document_id string, source_path string, content_hash string, format string, page_number int, native_text string")
+
+    def noted(df, *more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, *more)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(stores, "write_and_read", noted)
+        told = [sorted(map(str, engine.Pipeline().run(pages, unique=u).chunks.collect())) for u in (False, True)]
+    assert told[0] == told[1] and len(told[0]) == 2
+    windows = ["Window" in p for p in plans if "__first" in p or "native_text" in p and "answer" not in p]
+    assert windows == [True, False]
+
+
 def moved(spark) -> int:
     """Bytes that all stages so far shuffled, spilled to disk and wrote."""
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
